@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Query names and their modules; the module has query(spark, sf_dir) and, where SQL can express it, ORACLE_SQL.
 MODULES = {
     "op1_sentencepiece": "sentencepieces",
+    "op7_simhash": "simhash",
 }
 
 
