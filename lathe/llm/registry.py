@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = {
     "op1_sentencepiece": "sentencepieces",
     "op7_simhash": "simhash",
+    "op8_token_shards": "tokenbin",
 }
 
 
