@@ -12,6 +12,7 @@ MODULES = {
     "op1_sentencepiece": "sentencepieces",
     "op7_simhash": "simhash",
     "op8_token_shards": "tokenbin",
+    "op4_piecewise": "piecewise",
 }
 
 
