@@ -13,6 +13,7 @@ MODULES = {
     "op7_simhash": "simhash",
     "op8_token_shards": "tokenbin",
     "op4_piecewise": "piecewise",
+    "op5_licenses": "licenses",
 }
 
 
