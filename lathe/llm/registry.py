@@ -14,6 +14,7 @@ MODULES = {
     "op8_token_shards": "tokenbin",
     "op4_piecewise": "piecewise",
     "op5_licenses": "licenses",
+    "op6_quality": "quality",
 }
 
 
