@@ -15,6 +15,7 @@ MODULES = {
     "op4_piecewise": "piecewise",
     "op5_licenses": "licenses",
     "op6_quality": "quality",
+    "op9_url_rules": "urlrules",
 }
 
 
