@@ -16,6 +16,7 @@ MODULES = {
     "op5_licenses": "licenses",
     "op6_quality": "quality",
     "op9_url_rules": "urlrules",
+    "op10_decontamination": "decontaminate",
 }
 
 
