@@ -17,6 +17,7 @@ MODULES = {
     "op6_quality": "quality",
     "op9_url_rules": "urlrules",
     "op10_decontamination": "decontaminate",
+    "op2_line_dedup": "linededup",
 }
 
 
