@@ -18,6 +18,7 @@ MODULES = {
     "op9_url_rules": "urlrules",
     "op10_decontamination": "decontaminate",
     "op2_line_dedup": "linededup",
+    "op3_warc_audit": "warcaudit",
 }
 
 
