@@ -161,6 +161,21 @@ class _Step:
 
 
 SEGMENT = "key long, seq binary"
+#: Counts of pairs, or (with ends) what is told of a segment.
+PARTIAL = "code long, n long, ends array<bigint>"
+
+
+def _end_rows(keys: list[int], flat: np.ndarray, stops: np.ndarray) -> Iterator[pa.RecordBatch]:
+    s = flat[: stops[0]]
+    if s.size:
+        other, last = np.flatnonzero(s != s[0]), np.flatnonzero(s != s[-1])
+        row = [keys[0], s.size, int(s[0]), int(other[0]) if other.size else s.size, int(s[-1]), int(s.size - 1 - last[-1]) if last.size else s.size]
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([row], pa.list_(pa.int64()))], ["code", "n", "ends"])
+
+
+def _sorted_ends(df: DataFrame) -> list[dict]:
+    names = ("key", "n", "first", "first_run", "last", "last_run")
+    return sorted((dict(zip(names, r["ends"])) for r in df.filter("ends is not null").select("ends").collect()), key=lambda x: x["key"])
 
 
 def _segments(batches: Iterator[pa.RecordBatch], steps: Sequence[_Step], bounded: bool) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
@@ -216,16 +231,7 @@ class _Learner:
 
     def ends(self) -> list:
         """Of each segment in order: key, length, first token and its run, last token and its run."""
-
-        def run(parts):
-            for keys, flat, ends in parts:
-                s = flat[: ends[0]]
-                if s.size:
-                    other, last = np.flatnonzero(s != s[0]), np.flatnonzero(s != s[-1])
-                    row = (keys[0], s.size, int(s[0]), int(other[0]) if other.size else s.size, int(s[-1]), int(s.size - 1 - last[-1]) if last.size else s.size)
-                    yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in row], ["key", "n", "first", "first_run", "last", "last_run"])
-
-        return self._map(run, "key long, n long, first long, first_run long, last long, last_run long").orderBy("key").collect()
+        return _sorted_ends(self._map(lambda parts: (r for keys, flat, stops in parts for r in _end_rows(keys, flat, stops)), PARTIAL))
 
     def best(self, least: int) -> tuple[int, int, int, list] | None:
         base = BASE + len(self.merges)
@@ -233,7 +239,9 @@ class _Learner:
         def run(parts):
             dense = np.zeros(base * base, np.int64) if base <= DENSE else None
             sparse: list[tuple[np.ndarray, np.ndarray]] = []
-            for _, flat, _ in parts:
+            for keys, flat, stops in parts:
+                if not bounded:
+                    yield from _end_rows(keys, flat, stops)
                 code = _pairs(flat, base)
                 if dense is not None:
                     dense += np.bincount(code, minlength=dense.size) if code.size * 8 > dense.size else 0
@@ -248,15 +256,22 @@ class _Learner:
                 every = np.concatenate([c for c, _ in sparse]) if sparse else np.zeros(0, np.int64)
                 code, back = np.unique(every, return_inverse=True)
                 n = np.bincount(back, np.concatenate([k for _, k in sparse]), code.size).astype(np.int64) if sparse else code
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
-
-        partial = self._map(run, "code long, n long")
-        ends, crossing = [], []
-        if not self.bounded:
-            ends = self.ends()
-            crossing = [(int(x["last"]) * base + int(y["first"]), 1) for x, y in zip(ends, ends[1:])]
-            if crossing:
-                partial = partial.union(partial.sparkSession.createDataFrame(crossing, "code long, n long"))
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n), pa.nulls(len(code), pa.list_(pa.int64()))], ["code", "n", "ends"])
+
+        bounded = self.bounded
+        partial = self._map(run, PARTIAL)
+        if bounded:
+            return self._choose(partial, base, least, [])
+        partial = partial.persist()  # read twice; a lost part is computed again
+        try:
+            ends = _sorted_ends(partial)
+            crossing = [(x["last"] * base + y["first"], 1) for x, y in zip(ends, ends[1:])]
+            own = partial.filter("ends is null").select("code", "n")
+            return self._choose(own.union(own.sparkSession.createDataFrame(crossing, "code long, n long")) if crossing else own, base, least, ends)
+        finally:
+            partial.unpersist()
+
+    def _choose(self, partial: DataFrame, base: int, least: int, ends: list) -> tuple[int, int, int, list] | None:
         counts = partial.groupBy("code").agg(F.sum("n").alias("n"))
         top = counts.orderBy(F.col("n").desc(), "code").limit(TIES).collect()
         if not top or top[0]["n"] < least:
@@ -351,7 +366,8 @@ def _packed(df: DataFrame, merges: Sequence[S.Merge]) -> DataFrame:
 def _joined(df: DataFrame, separator: str) -> DataFrame:
     """The corpus as consecutive segments, in order of doc_id; keys follow that order."""
     gap = np.frombuffer(separator.encode(), np.uint8).astype(np.int32)
-    ordered = df.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
 
     def run(batches):
         part, k, held, size = TaskContext.get().partitionId(), 0, [], 0
