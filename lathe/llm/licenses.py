@@ -125,7 +125,7 @@ ORACLE_SQL = f"""
 WITH templates(label, words, lead_in, phrase, base) AS (VALUES {", ".join(f"('{t[0]}', {_sql_list(t[1].split())}, {t[2]}, {_sql_list(_key(t))}, {str(t[4]).lower()})" for t in TEMPLATES)}),
 docs AS (SELECT row_number() OVER () AS row_no, doc_id,
   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents),
-found AS (SELECT row_no, w, label, words, lead_in, base, unnest(list_filter(range(len(w)), lambda i: w[i + 1 : i + len(phrase)] = phrase)) AS start FROM docs, templates),
+found AS (SELECT row_no, w, label, words, lead_in, base, unnest(list_filter(range(len(w)), lambda i: w[i + 1 : i + len(phrase)] = phrase)) AS start FROM docs, templates WHERE list_contains(w, phrase[1]) AND list_contains(w, phrase[2])),
 places AS (SELECT row_no, label, start, base,
   len(list_filter(range(len(words)), lambda j: start - lead_in + j >= 0 AND start - lead_in + j < len(w) AND w[start - lead_in + j + 1] = words[j + 1])) / len(words)::DOUBLE AS share FROM found),
 by_doc AS (SELECT row_no, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
