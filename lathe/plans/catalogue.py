@@ -276,7 +276,7 @@ def queries() -> dict[str, Query]:
 # The SQL side, written independently of the operators: sequences as strings, layers as joins.
 
 _HEX = "hex(encode(text))"
-_SEQ = "(SELECT doc_id, array_to_string(list_transform(range(0, len(h) // 2), lambda i: chr(('0x' || substr(h, 2 * i + 1, 2))::INT)), '') AS s FROM (SELECT doc_id, hex(encode(text)) AS h FROM {source}))"
+_SEQ = "(SELECT doc_id, array_to_string(list_transform(regexp_extract_all(h, '..'), lambda x: chr(('0x' || x)::INT)), '') AS s FROM (SELECT doc_id, hex(encode(text)) AS h FROM {source}))"
 _DOCS = _SEQ.format(source="documents")
 
 
@@ -391,7 +391,7 @@ ORACLES: dict[str, str] = {
     "q19_shuffled": _BATCHES,
     "q20_budget_grid": """SELECT device, gpus, hours, mfu, round(c / 1e6, 3) AS c, round(n / 1e6, 3) AS n, round(20 * n / 1e6, 3) AS d, round(20 * n / n, 6) AS ratio FROM (SELECT *, sqrt(c / 120) AS n FROM
 (SELECT device, gpus::BIGINT AS gpus, hours::BIGINT AS hours, mfu, gpus * (peak * mfu) * (hours * 3600) AS c FROM (VALUES ('h100', 989e12), ('a100', 312e12), ('l4', 121e12)) d(device, peak), (VALUES (1), (8)) g(gpus), (VALUES (1), (24)) h(hours), (VALUES (0.3::DOUBLE), (0.4::DOUBLE)) m(mfu)))""",
-    "q21_embed_lookup": _with(_X, "tok AS (SELECT b, unnest(range(len(h) // 2)) AS t, unnest(list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::INT)) AS token FROM (SELECT item_id AS b, hex(encode(text)) AS h FROM benchmark))") + f"SELECT b, t::BIGINT AS t, round(sum(y), 6) AS s1, round(sum(y * (i + 1)), 6) AS s2 FROM (SELECT b, t, i, v + ((t * 31 + i * 17) % 13 - 6) / 13.0::DOUBLE AS y FROM tok JOIN x ON x.vec_id = token) GROUP BY b, t",
+    "q21_embed_lookup": _with(_X, "tok AS (SELECT b, unnest(range(len(h) // 2)) AS t, unnest(list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::INT)) AS token FROM (SELECT item_id AS b, hex(encode(text)) AS h FROM benchmark))") + f"SELECT b, t::BIGINT AS t, round(sum(y), 6) AS s1, round(sum(y * (i + 1)), 6) AS s2 FROM (SELECT b, t, i, v + ((t * 31 + i * 17) % 13 - 6) / 13.0::DOUBLE AS y FROM tok JOIN x ON x.vec_id = token) GROUP BY b, t",
     "q22_linear": _with(_X, _w("w", DIM, DIM, 1.0, 0), _linear("o", "x", "w")) + "SELECT vec_id, i::BIGINT AS i, round(v, 6) AS v FROM o",
     "q23_causal_attention": _with(_X, *_attention("x")) + "SELECT vec_id, i::BIGINT AS i, round(v, 6) AS o FROM att",
     "q24_softmax": _with(_X) + "SELECT vec_id, i::BIGINT AS i, round(exp(v) / sum(exp(v)) OVER (PARTITION BY vec_id), 6) AS p FROM x",
