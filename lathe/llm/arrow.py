@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -11,7 +12,7 @@ import pyarrow.compute as pc
 
 #: Text bytes handled at once in a Python worker; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
-#: Entries after which a chunk table starts anew, so that memory stays bounded.
+#: Entries over which a chunk table is cut back, so that memory stays bounded.
 TABLE_ENTRIES = 400_000
 
 
@@ -51,23 +52,36 @@ def gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarra
 class ChunkTable(dict):
     """Distinct chunks by number, with the ids of each; a new chunk is segmented once.
 
-    `segment` turns a list of chunks into as many lists of ids. After
-    `TABLE_ENTRIES` chunks the table begins anew, so it never outgrows a worker.
+    `segment` turns a list of chunks into as many lists of ids. Over
+    `TABLE_ENTRIES` chunks the table keeps only those used most, half of them at
+    most, so it never outgrows a worker.
     """
 
     def __init__(self, segment: Callable[[list[str]], list[list[int]]], most: int = TABLE_ENTRIES):
         super().__init__()
         self.segment, self.most = segment, most
-        self._begin()
-
-    def _begin(self) -> None:
-        self.clear()
         self.new: list[str] = []
         self.flat = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1 << 14, np.int64)
         self.length = np.zeros(1 << 14, np.int64)
+        self.uses = np.zeros(1 << 14, np.int64)
         self.used = 0
 
+    def _shrink(self) -> None:
+        uses = self.uses[: len(self)]
+        least = max(2, int(np.partition(uses, -(self.most // 2))[-(self.most // 2)]) + 1)
+        kept = np.flatnonzero(uses >= least)
+        names = list(self)
+        self.clear()
+        for n, k in enumerate(kept.tolist()):
+            self[names[k]] = n
+        size = self.length[kept]
+        flat = gather(self.flat, self.start[kept], size)
+        self.flat[: flat.size], self.used = flat, flat.size
+        self.start[: kept.size], self.length[: kept.size] = np.cumsum(size) - size, size
+        self.uses[: kept.size] = uses[kept] // 2
+        self.uses[kept.size :] = 0
+
     def __missing__(self, chunk: str) -> int:
         n = self[chunk] = len(self)
         self.new.append(chunk)
@@ -83,6 +97,7 @@ class ChunkTable(dict):
         while self.start.size < len(self):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
         while self.flat.size < self.used + more.size:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.start[first : len(self)] = self.used + np.cumsum(sizes) - sizes
@@ -93,12 +108,23 @@ class ChunkTable(dict):
 
     def ids(self, chunks: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some documents' chunks, and each document's number of ids."""
+        # Many short lists live for a moment; none is part of a cycle, so looking for cycles meanwhile is in vain.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._ids(chunks)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _ids(self, chunks: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         if len(self) > self.most:
-            self._begin()
+            self._shrink()
         counts = np.fromiter(map(len, chunks), np.int64, len(chunks))
         total = int(counts.sum())
         at = np.fromiter(map(self.__getitem__, chain.from_iterable(chunks)), np.int64, total)
         self._segment_new()
+        self.uses[: len(self)] += np.bincount(at, minlength=len(self))
         sizes = self.length[at]
         sums = np.concatenate([[0], np.cumsum(sizes)])
         ends = np.cumsum(counts)

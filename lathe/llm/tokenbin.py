@@ -3,8 +3,8 @@
 Documents are dealt out by ranges of (doc_id, hash of text) and sorted, so the
 shards, read in order of (part, shard), hold all ids in ascending doc_id order.
 Ids come from the tokenizers library; since its splitting never crosses a blank
-or a line end, each worker keeps a bounded table of distinct blank-separated
-chunks and has the library encode each new one once.
+or a line end, each worker keeps bounded tables of distinct blank-separated chunks and
+of their stems, and has the library encode each new stem once.
 
 A shard of about `SHARD_IDS` ids is compressed by itself: in each round the
 frequent adjacent pairs become nonterminals, all occurrences are replaced from
@@ -44,6 +44,7 @@ from lathe.llm.arrow import ChunkTable, slices, texts
 from lathe.llm.common import session, shared_dir, table, text_of
 
 MAGIC = b"RPG1"
+BETWEEN = "<|endoftext|>"
 SHARD_IDS = 1 << 20
 END_ID = 1
 #: Rounds of replacement, new rules in each, and the occurrences a pair needs.
@@ -159,13 +160,51 @@ class Shard:
         return self.expand(self.symbols), np.diff(sums[self.starts])
 
 
-@lru_cache(maxsize=2)
-def _tokens(path: str) -> ChunkTable:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class _Tokenizer:
+    """The library behind two tables: chunks as they stand, and their stems, lower-cased and without a last full stop or comma."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.between = self.library.token_to_id(BETWEEN)
+        self.tails = {c: self._each([c])[0] for c in ".,"}
+        self.stems = ChunkTable(self._encode, 700_000)
+        self.ids = ChunkTable(self._segment).ids
+
+    def _each(self, chunks: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _encode(self, chunks: list[str]) -> list[list[int]]:
+        """One call of the library for many chunks, set apart by a special token that none of them holds."""
+        if self.between is None or any(BETWEEN in c for c in chunks):
+            return self._each(chunks)
+        joined = [BETWEEN.join(chunks[a : a + 64]) for a in range(0, len(chunks), 64)]
+        out: list[list[int]] = []
+        for x in self._each(joined):
+            at = -1
+            for b in [*(k for k, i in enumerate(x) if i == self.between), len(x)]:
+                out.append(x[at + 1 : b])
+                at = b
+        return out
+
+    def _segment(self, chunks: list[str]) -> list[list[int]]:
+        """Letters and what follows them are split before anything else, and case is folded: a stem has its ids by itself."""
+        stems, tails = [], []
+        for c in chunks:
+            c = c.lower() if c.isascii() and "<|" not in c else c
+            cut = c[-1:] in self.tails and c[:-1].isalpha()
+            stems.append([c[:-1] if cut else c])
+            tails.append(self.tails[c[-1]] if cut else [])
+        flat, sizes = self.stems.ids(stems)
+        ids, ends = flat.tolist(), np.cumsum(sizes).tolist()
+        return [ids[b - n : b] + t for b, n, t in zip(ends, sizes.tolist(), tails)]
+
 
-    library = Tokenizer.from_file(path)
-    return ChunkTable(lambda chunks: [x.ids for x in library.encode_batch_fast(chunks, add_special_tokens=False)])
+@lru_cache(maxsize=2)
+def _tokens(path: str) -> _Tokenizer:
+    return _Tokenizer(path)
 
 
 def write(df: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID) -> None:
