@@ -54,6 +54,7 @@ def statistics(text: Column) -> dict[str, Column]:
         "stops": share(literal("."), words),
         "commas": share(literal(","), words),
         "capitalised": share(count(r"\b[A-Z][a-z]"), words),
+        "distinct": share(F.size(F.array_distinct(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "))).cast("double"), words),
     }
 
 
