@@ -13,12 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lathe.llm import decontaminate, linededup, quality, sentencepieces, simhash
+from lathe.llm import decontaminate, linededup, nearsets, quality, sentencepieces
 from lathe.llm.common import staged, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Words of a shingle in the near-dedup stage, and bits in which linked fingerprints may differ.
-WIDTH, BITS = 5, 2
+#: Words of a shingle in the near-dedup stage.
+WIDTH = 5
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +34,9 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the least id."""
-    marks = staged(simhash.fingerprints(docs.select("doc_id", "text"), width=WIDTH).select("doc_id", "simhash"))
-    first = simhash.groups(marks, BITS).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.select(COLUMNS).join(first.withColumnRenamed("doc_id", "__kept"), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group of near-duplicates (five-word shingles, Jaccard 0.8 or more), the one with the least id."""
+    first = staged(nearsets.firsts(docs.select("doc_id", "text"), WIDTH)).select(F.col("id").alias("__kept")).distinct()
+    return docs.select(COLUMNS).join(first, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id"])
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
