@@ -1,19 +1,16 @@
-"""Operator 10: benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
+"""Operator 10: benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
 Words are runs of letters and digits, lower-cased. Benchmark items are a query
 set: they are read in blocks of at most `BLOCK_WORDS` words (all blocks, one
 after another), so what is sent to the executors has a fixed bound; usually
 there is one block.
 
-For each block, one scan counts in how many documents each 3-gram of the items
-occurs (counted per task, then summed). A 3-gram is a seed if it is rare (in
-`FEW` documents plus `RARE` of all at most) or the rarest of `STRETCH` consecutive ones of its
-item. So a passage that leaked into a third of all documents still has seeds,
-and any run of STRETCH + 2 unedited words of an item holds one. A second scan
-finds the seeds in every document; each hit opens a window around where the
-item would lie, overlapping windows of an item are merged, and the item is
-aligned with the window's words by Smith-Waterman (match 2, mismatch and gap
--1). The score is the best alignment over the item's perfect score.
+For each block, one scan finds the 3-grams of its items, common or rare, in every
+document; each hit opens a window around where the item would lie and overlapping
+windows of an item are merged. A window with fewer words of the item than the
+least score takes is passed over; with any other the item is aligned by
+Smith-Waterman (match 2, mismatch and gap -1). The score is the best alignment
+over the item's perfect score.
 
 Documents are never shuffled and never paired with each other; a task holds one
 slice of documents, the block's items and seeds.
@@ -38,7 +35,7 @@ from lathe.llm.arrow import slices, texts
 from lathe.llm.common import session, table, text_of
 
 WORD = re.compile(r"[^\W_]+")
-N, STRETCH, FEW, RARE, BLOCK_WORDS, LEAST = 3, 4, 10, 0.0001, 1_000_000, 0.5
+N, BLOCK_WORDS, LEAST = 3, 1_000_000, 0.5
 
 
 def words_of(text: str | None) -> list[str]:
@@ -94,6 +91,11 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[float, int]:
     return best / (2 * item.size), end
 
 
+def _words_in(item: np.ndarray, window: np.ndarray) -> int:
+    """How many words of a window are words of the item: no alignment matches more."""
+    return int(np.isin(window, item).sum())
+
+
 def _windows(at: list[tuple[int, int]], length: int, size: int) -> list[tuple[int, int]]:
     """Merged stretches of a document in which an item with hits (position, offset) may lie."""
     slack = length // 4 + N
@@ -131,25 +133,10 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     schema = f"doc_id {kind}, item_id {of_item}, score double, first_word long, end_word long"
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     found = None
-    total = None
     for block in _blocks(items, item_id, item_text):
         shared = spark.sparkContext.broadcast(block)
 
-        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            block = shared.value
-            seen = np.zeros(block.all.size, np.int64)
-            for batch in slices(batches, "text"):
-                for x in texts(batch, "text"):
-                    seen[np.unique(_at(block.all, block.codes(block.numbers(x)))[1])] += 1
-            where = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), pa.array(seen[where], pa.int64())], ["gram", "n"])
-
-        df = np.zeros(block.all.size, np.int64)
-        # A row per 3-gram of the block, which BLOCK_WORDS bounds.
-        for r in rows.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-            df[r["gram"]] = r["n"]
-        total = rows.count() if total is None else total
-        seeds = _seeds(block, df, total)
+        seeds = _seeds(block)
         shared_seeds = spark.sparkContext.broadcast(seeds)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared, shared_seeds=shared_seeds) -> Iterator[pa.RecordBatch]:
@@ -164,7 +151,8 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
                             hits[k].append((p, o))
                     for k, at in hits.items():
                         item = block.words[k]
-                        score, end = max((s, a + e) for a, b in _windows(at, item.size, w.size) for s, e in [align(item, w[a:b])])
+                        spans = [(a, b) for a, b in _windows(at, item.size, w.size) if _words_in(item, w[a:b]) >= least * item.size]
+                        score, end = max(((s, a + e) for a, b in spans for s, e in [align(item, w[a:b])]), default=(-1.0, 0))
                         if score >= least:
                             out.append((key, block.ids[k], score, max(0, end - item.size), end))
                 kinds = [batch.schema.field("doc_id").type, None, pa.float64(), pa.int64(), pa.int64()]
@@ -176,18 +164,13 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     return spark.createDataFrame([], schema) if found is None else found
 
 
-def _seeds(block: Items, df: np.ndarray, documents: int) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
-    """Sorted seed codes and for each its (item, offset) postings."""
+def _seeds(block: Items) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
+    """The block's 3-grams, sorted, and for each its (item, offset) postings."""
     posts = defaultdict(list)
     for k, grams in enumerate(block.grams):
-        n = df[np.searchsorted(block.all, grams)]
-        seed = n <= FEW + RARE * documents
-        for a in range(max(1, grams.size - STRETCH + 1)):
-            seed[a + int(n[a : a + STRETCH].argmin())] = True
-        for o in np.flatnonzero(seed).tolist():
-            posts[int(grams[o])].append((k, o))
-    codes = np.array(sorted(posts), np.int64)
-    return codes, [posts[c] for c in codes.tolist()]
+        for o, c in enumerate(grams.tolist()):
+            posts[c].append((k, o))
+    return block.all, [posts[c] for c in block.all.tolist()]
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from lathe.llm import decontaminate as D
 
 
@@ -50,3 +52,18 @@ def test_blocks_and_empty_tables(spark, monkeypatch):
     assert sorted((r.doc_id, r.item_id, r.score) for r in D.matches(docs, items).collect()) == [(1, 1, 1.0), (2, 2, 1.0), (2, 3, 1.0)]
     assert D.matches(docs.limit(0), items).count() == 0
     assert D.matches(docs, items.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("step", [4, 5, 6])
+def test_edited_copy_beside_many_verbatim_leaks(spark, step):
+    rng = random.Random(11)
+    item = [f"w{k}" for k in range(40)]
+    other = lambda n: [f"o{rng.randrange(5000)}" for _ in range(n)]
+    copy = [other(1)[0] if i % step == step - 1 else w for i, w in enumerate(item)]
+    # The rarest 3-grams of the item are those that the edited copy broke.
+    docs = [other(30) + c + other(30) for c in [item] * 50 + [copy]] + [other(80) for _ in range(50)]
+    rows = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    want = {i: s for i, d in enumerate(docs) if (s := plain_score(item, d)) >= D.LEAST}
+    assert sorted(want) == list(range(51))
+    assert {r.doc_id: r.score for r in D.matches(rows, items).collect()} == want
