@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and works on all documents that the one
 before it kept; between stages the documents are written as Parquet and read
 again. All but the last return the columns of `documents`.
 
-Defined cases: repeated rows of one doc_id are one document from the near-dedup
-stage on; null texts are empty texts; an empty table stays empty.
+Defined cases: rows of equal doc_id and text are one document from the near-dedup
+stage on, rows of one doc_id (or of none) with different texts are several; null
+texts are empty texts; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathe.llm import decontaminate, linededup, nearsets, quality, sentencepieces
-from lathe.llm.common import staged, table
+from lathe.llm.common import staged, table, text_of
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Words of a shingle in the near-dedup stage.
@@ -35,8 +36,10 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, Jaccard 0.8 or more), the one with the least id."""
-    first = staged(nearsets.firsts(docs.select("doc_id", "text"), WIDTH)).select(F.col("id").alias("__kept")).distinct()
-    return docs.select(COLUMNS).join(first, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id"])
+    first = staged(nearsets.firsts(docs.select("doc_id", "text"), WIDTH)).select(F.col("id").alias("__kept"), F.col("h").alias("__of"))
+    keyed = docs.select(*COLUMNS, F.xxhash64(text_of("text")).alias("__hash"))
+    kept = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.col("__hash") == F.col("__of")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__hash"]).select(COLUMNS)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

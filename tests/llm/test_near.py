@@ -64,3 +64,14 @@ def test_near_stage_links_edited_copies_like_brute_force(spark, tmp_path, monkey
     assert linked > 100 and len(want) > 20
     got = [r.doc_id for r in C.near_stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_null_and_repeated_ids_lose_near_duplicates_only(spark, tmp_path):
+    rng = random.Random(5)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(40))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(None, a), (None, b), (None, c), (None, c), (7, d), (7, e), (7, e), (8, a), (9, f"{b} more")]
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = C.near_stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert got.columns == C.COLUMNS
+    assert sorted(((str(r.doc_id), r.text) for r in got.collect())) == sorted([("8", a), ("9", f"{b} more"), ("None", c), ("7", d), ("7", e)])
