@@ -29,8 +29,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines whose template came earlier; n_chars follows."""
-    done = linededup.drop_recurring(docs.select(COLUMNS))
+    """All documents, without lines, short ones too, whose template came earlier; n_chars follows."""
+    done = linededup.drop_recurring(docs.select(COLUMNS), least=1)
     return done.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 

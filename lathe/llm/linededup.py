@@ -8,7 +8,10 @@ max(2, `SUPPORT` of the leaf's distinct lines) carry it there, else variable; a
 line of which at least `CONSTANT` is constant has the template of its constant
 tokens, any other line is its own template. A template that recurs in at least
 two documents keeps its first line (least document id, hash of text, line
-number) and loses all others. Lines of fewer than `MIN_TOKENS` tokens stay.
+number) and loses all others. Lines of fewer than `least` tokens stay, in the
+query those of fewer than `MIN_TOKENS`, as in its SQL. With a lower `least` (the
+pipeline takes 1) shorter lines are their own exact template, digits and all:
+up to `LEADING` tokens are all in the leaf. Blank lines stay.
 
 Only hashes travel: a row (document, line number, leaf, template) per line is
 written once, and templates are aggregated before anything is shuffled, so a
@@ -38,21 +41,25 @@ def _tokens(line: Column) -> Column:
     return F.split(F.regexp_replace(masked, r"^\s+|\s+$", ""), r"\s+")
 
 
-def _lines(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows (id, h, at, tokens): the lines that have MIN_TOKENS tokens or more."""
+def _lines(df: DataFrame, doc_id: str, text: str, least: int) -> DataFrame:
+    """Rows (id, h, at, tokens): the lines that have `least` tokens or more and are not blank."""
     lines = df.select(F.col(doc_id).alias("id"), F.xxhash64(text_of(text)).alias("h"), F.posexplode(F.split(text_of(text), "\n")).alias("at", "line"))
-    return lines.select("id", "h", "at", _tokens(F.col("line")).alias("tokens")).filter(F.size("tokens") >= MIN_TOKENS)
+    found = lines.select("id", "h", "at", "line", _tokens(F.col("line")).alias("tokens")).filter(F.size("tokens") >= least)
+    if least < MIN_TOKENS:
+        exact = F.split(F.regexp_replace("line", r"^\s+|\s+$", ""), r"\s+")
+        found = found.withColumn("tokens", F.when(F.size("tokens") < MIN_TOKENS, exact).otherwise(F.col("tokens"))).filter(F.element_at("tokens", 1) != "")
+    return found.drop("line")
 
 
 def _first() -> Column:
     return F.struct("id", "h", "at")
 
 
-def recurring(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+def recurring(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = MIN_TOKENS) -> tuple[DataFrame, DataFrame]:
     """The table of lines (id, h, at, leaf, template), and of those in recurring templates (leaf, template, first)."""
     n = F.size("tokens")
     leaf = F.xxhash64(n, F.slice("tokens", 1, LEADING))
-    lines = staged(_lines(df, doc_id, text).select("id", "h", "at", leaf.alias("leaf"), F.xxhash64("tokens", F.lit("line")).alias("template")))
+    lines = staged(_lines(df, doc_id, text, least).select("id", "h", "at", leaf.alias("leaf"), F.xxhash64("tokens", F.lit("line")).alias("template")))
     templates = staged(lines.groupBy("leaf", "template").agg(F.min(_first()).alias("first"), F.max(F.struct("id", "h")).alias("last")))
 
     sizes = templates.groupBy("leaf").agg(F.count("*").alias("of_leaf")).filter("of_leaf > 1")
@@ -76,10 +83,10 @@ def recurring(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tupl
     return lines, named.select("leaf", "template", "kind", "general").join(again, ["leaf", "kind", "general"]).select("leaf", "template", "first")
 
 
-def drop_recurring(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_recurring(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = MIN_TOKENS) -> DataFrame:
     """The table with recurring lines gone from its texts, and n_lines and n_dropped appended."""
     df = df.drop("n_lines", "n_dropped")
-    lines, again = recurring(df, doc_id, text)
+    lines, again = recurring(df, doc_id, text, least)
     gone = lines.join(again, ["leaf", "template"]).filter(~_first().eqNullSafe(F.col("first")))
     by_doc = gone.groupBy(F.col("id").alias("__id"), F.col("h").alias("__h")).agg(F.collect_set("at").alias("__gone"))
     body = F.col(text)
