@@ -7,8 +7,8 @@ fingerprints are joined with themselves and each pair's Hamming distance is
 verified. Fingerprints under a crowded key are linked without their pairs: each
 writes itself and its 64 one-bit neighbours, and all that share such a point
 are within two bits of each other, so a star to the least of them links the
-same sets (a point has 65 fingerprints at most; for other radii the crowded
-keys are split by further blocks, see `_dense`). Work therefore grows with the
+same sets (a point has 65 fingerprints at most; this holds for 2 bits only, and
+`links` refuses other radii). Work therefore grows with the
 number of distinct fingerprints, never with the square of a group.
 
 Equal fingerprints are one node. Components are found on the linked
