@@ -2,14 +2,16 @@
 
 Documents are dealt out by ranges of (doc_id, hash of text) and sorted, so the
 shards, read in order of (part, shard), hold all ids in ascending doc_id order.
-Ids come from the tokenizers library; since its splitting never crosses a blank
-or a line end, each worker keeps bounded tables of distinct blank-separated chunks and
-of their stems, and has the library encode each new stem once.
+Ids come from the tokenizers library. Where the tokenizer file's own rules never
+join what a blank or line end sets apart, each worker keeps a bounded table of
+distinct blank-separated chunks and has the library encode each new one once;
+with any other tokenizer whole texts go to the library.
 
-A shard of about `SHARD_IDS` ids is compressed by itself: in each round the
-frequent adjacent pairs become nonterminals, all occurrences are replaced from
-left to right, and rules and expansion lengths are stored. No rule spans the end
-of a document, so each document is a run of symbols that can be decoded alone.
+A shard of about `SHARD_IDS` ids is compressed by itself: round after round the
+frequent adjacent pairs become nonterminals and all occurrences are replaced, from
+the commonest down, until no pair occurs `LEAST` times; rules and expansion
+lengths are stored. No rule spans the end of a document, so each document is a run of
+symbols that can be decoded alone.
 
 File format of a shard, little-endian: magic ``RPG1``; eight unsigned 32-bit
 sizes (documents, terminals, rules, rounds, symbols, bytes per symbol, ids,
@@ -26,8 +28,10 @@ are interchangeable; other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -47,58 +51,87 @@ MAGIC = b"RPG1"
 BETWEEN = "<|endoftext|>"
 SHARD_IDS = 1 << 20
 END_ID = 1
-#: Rounds of replacement, new rules in each, and the occurrences a pair needs.
-ROUNDS, RULES, LEAST = 6, 8192, 12
+#: Occurrences a pair needs, and how much rarer than the commonest a pair of the same round may be.
+LEAST, SPREAD = 12, 16
+#: Distinct chunks that a worker remembers.
+CHUNKS = 500_000
+# The rules of a tokenizer file under which blank-separated chunks can be encoded apart.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 SHARDS = "part int, shard int, n_docs long, n_ids long, data binary"
 
 
+def _distinct(code: np.ndarray, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that may be replaced, in order, and how often each occurs."""
+    order = np.sort(code[open_])
+    at = np.flatnonzero(np.concatenate([[True], order[1:] != order[:-1]])) if order.size else np.zeros(0, np.int64)
+    return order[at], np.diff(np.append(at, order.size))
+
+
+def _taken(where: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which of the places of pairs, in order, are replaced: of overlapping ones the commonest pair, so that copies of a passage are cut alike."""
+    taken = np.zeros(where.size, bool)
+    left = np.arange(where.size)
+    while left.size:
+        at, r = where[left], rank[left]
+        close = np.diff(at) == 1
+        same = close & (r[1:] == r[:-1])
+        if same.any():  # of a run of one id, every other place
+            begin = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), np.arange(at.size), 0))
+            even = (np.arange(at.size) - begin) % 2 == 0
+            left = left[even]
+            continue
+        no = np.zeros(1, bool)
+        best = ~np.concatenate([no, close & (r[:-1] > r[1:])]) & ~np.concatenate([close & (r[1:] > r[:-1]), no])
+        taken[left[best]] = True
+        gone = best.copy()
+        gone[1:] |= close & best[:-1]
+        gone[:-1] |= close & best[1:]
+        left = left[~gone]
+    return taken
+
+
 def compress(ids: np.ndarray, doc_ids: list[int | None], sizes: np.ndarray, end_id: int = END_ID) -> bytes:
     """A shard of documents' ids (each ends with end_id) as bytes."""
-    seen = np.bincount(ids) if ids.size and ids.max() < 1 << 24 else None
-    terminals = np.flatnonzero(seen).astype(np.uint32) if seen is not None else np.unique(ids).astype(np.uint32)
-    if seen is not None:
-        number = np.zeros(seen.size, np.uint32)
-        number[terminals] = np.arange(terminals.size, dtype=np.uint32)
-        s = number[ids]
-    else:
-        s = np.searchsorted(terminals, ids).astype(np.uint32)
+    terminals, s = _numbered(ids)
     ends = np.zeros(s.size, bool)
     ends[np.cumsum(sizes) - 1] = True
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
     first: list[int] = []
     used = terminals.size
-    for _ in range(ROUNDS):
-        room = min(RULES, 65536 - used)
-        if s.size < 2 or room <= 0:
-            break
-        code = s[:-1] * np.uint32(used) + s[1:] if used <= 65536 else None
-        if code is None:
-            break
+    while s.size > 1:
+        kind = np.uint32 if used <= 1 << 16 else np.uint64
+        code = s[:-1].astype(kind) * kind(used) + s[1:].astype(kind)
         open_ = ~(ends[:-1] | ends[1:])  # a pair with a document's last id is never replaced
-        order = np.sort(code[open_])
-        at = np.flatnonzero(np.concatenate([[True], order[1:] != order[:-1]])) if order.size else np.zeros(0, np.int64)
-        n = np.diff(np.append(at, order.size))
-        frequent = np.flatnonzero(n >= LEAST)
-        if not frequent.size:
+        pairs, n = _distinct(code, open_)
+        frequent = n >= LEAST
+        if not frequent.any():
             break
-        best = frequent[np.argsort(-n[frequent], kind="stable")[:room]]
-        best = best[n[best] * 16 >= n[best[0]]]  # the rest may be part of what is replaced now
-        chosen = np.sort(order[at[best]])
+        # Pairs far rarer than the commonest wait: they may be part of what is replaced now.
+        chosen = pairs[frequent & (n * SPREAD >= n.max())]
         maybe = np.zeros(1 << 20, bool)
-        mix = np.uint32(2654435761)
-        maybe[(chosen * mix) >> np.uint32(12)] = True
-        where = np.flatnonzero(maybe[(code * mix) >> np.uint32(12)] & open_)
+        maybe[_mixed(chosen)] = True
+        where = np.flatnonzero(maybe[_mixed(code)] & open_)
         rule = np.searchsorted(chosen, code[where])
         rule[rule == chosen.size] = 0
         real = chosen[rule] == code[where]
         where, rule = where[real], rule[real]
-        apart = np.concatenate([[True], np.diff(where) != 1])
-        begin = np.maximum.accumulate(np.where(apart, np.arange(where.size), 0))
-        free = (np.arange(where.size) - begin) % 2 == 0  # leftmost first, without overlaps
-        where, rule = where[free], rule[free]
-        left.append(chosen // np.uint32(used))
-        right.append(chosen % np.uint32(used))
+        rank = np.empty(chosen.size, np.int64)
+        rank[np.lexsort((_mixed(chosen), n[np.searchsorted(pairs, chosen)]))] = np.arange(chosen.size)
+        taken = _taken(where, rank[rule])
+        where, rule = where[taken], rule[taken]
+        # Overlapping pairs may have left one without a place.
+        held = np.bincount(rule, minlength=chosen.size) > 0
+        rule, chosen = (np.cumsum(held) - 1)[rule], chosen[held]
+        left.append((chosen // kind(used)).astype(np.uint32))
+        right.append((chosen % kind(used)).astype(np.uint32))
         first.append(used - terminals.size)
         s[where] = rule.astype(np.uint32) + np.uint32(used)
         keep = np.ones(s.size, bool)
@@ -117,6 +150,25 @@ def compress(ids: np.ndarray, doc_ids: list[int | None], sizes: np.ndarray, end_
     return b"".join((MAGIC, head, *(x.tobytes() for x in parts)))
 
 
+def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, and each id's place among them."""
+    if not ids.size or ids.max() >= 1 << 24:
+        terminals = np.unique(ids).astype(np.uint32)
+        return terminals, np.searchsorted(terminals, ids).astype(np.uint32)
+    seen = np.bincount(ids)
+    terminals = np.flatnonzero(seen).astype(np.uint32)
+    number = np.zeros(seen.size, np.uint32)
+    number[terminals] = np.arange(terminals.size, dtype=np.uint32)
+    return terminals, number[ids]
+
+
+def _mixed(code: np.ndarray) -> np.ndarray:
+    """Twenty well-mixed bits of each pair."""
+    if code.dtype == np.uint32:
+        return (code * np.uint32(2654435761)) >> np.uint32(12)
+    return (code * np.uint64(11400714819323198485)) >> np.uint64(44)
+
+
 class Shard:
     """A shard's bytes, read; documents can be decoded one by one or all at once."""
 
@@ -160,8 +212,16 @@ class Shard:
         return self.expand(self.symbols), np.diff(sums[self.starts])
 
 
+def _kind(c: str) -> str:
+    """The class of a Latin-1 character: a letter or digit, a blank, a stop, anything else."""
+    return "a" if unicodedata.category(c)[0] in "LN" else c if c in " ." else " " if c == "\n" else "." if c == "," else "p"
+
+
+_KINDS = "".join(_kind(chr(k)) for k in range(256)).encode()
+
+
 class _Tokenizer:
-    """The library behind two tables: chunks as they stand, and their stems, lower-cased and without a last full stop or comma."""
+    """The library behind a table of distinct chunks."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -169,9 +229,14 @@ class _Tokenizer:
 
         self.library = Tokenizer.from_file(path)
         self.between = self.library.token_to_id(BETWEEN)
-        self.tails = {c: self._each([c])[0] for c in ".,"}
-        self.stems = ChunkTable(self._encode, 700_000)
-        self.ids = ChunkTable(self._segment).ids
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        #: Whether the file's own rules allow chunks to be encoded apart; else whole texts go to the library.
+        self.apart = (
+            [spec[x] for x in ("normalizer", "pre_tokenizer", "post_processor", "truncation")] == [NORMALIZER, SPLITTER, None, None]
+            and not any(x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"] or not x["content"].startswith("<|") or set(" \n") & set(x["content"]) for x in spec["added_tokens"])
+        )
+        self.table = ChunkTable(self._encode, CHUNKS)
 
     def _each(self, chunks: list[str]) -> list[list[int]]:
         return [x.ids for x in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
@@ -189,17 +254,35 @@ class _Tokenizer:
                 at = b
         return out
 
-    def _segment(self, chunks: list[str]) -> list[list[int]]:
-        """Letters and what follows them are split before anything else, and case is folded: a stem has its ids by itself."""
-        stems, tails = [], []
-        for c in chunks:
-            c = c.lower() if c.isascii() and "<|" not in c else c
-            cut = c[-1:] in self.tails and c[:-1].isalpha()
-            stems.append([c[:-1] if cut else c])
-            tails.append(self.tails[c[-1]] if cut else [])
-        flat, sizes = self.stems.ids(stems)
-        ids, ends = flat.tolist(), np.cumsum(sizes).tolist()
-        return [ids[b - n : b] + t for b, n, t in zip(ends, sizes.tolist(), tails)]
+    def chunks(self, text: str) -> list[str]:
+        """Blank-separated chunks with the text's ids.
+
+        Texts of Latin-1 characters are lower-cased first: none of these
+        composes with another, and each has one lower case, so the library does
+        the same. In them a stop or comma between a letter or digit and a blank
+        is a chunk of its own, as the library splits there; a text in which
+        another mark stands before such a stop is left as it is.
+        """
+        if "<|" not in text:
+            try:
+                kinds = text.encode("latin-1").translate(_KINDS)
+            except UnicodeEncodeError:
+                return text.replace("\n", " ").split(" ")
+            text = text.lower().replace("\n", " ")
+            if b"p. " not in kinds and b".. " not in kinds:
+                text = text.replace(". ", " . ").replace(", ", " , ")
+                if kinds[-1:] == b"." and kinds[-2:-1] == b"a":
+                    text = f"{text[:-1]} {text[-1]}"
+            return text.split(" ")
+        return text.replace("\n", " ").split(" ")
+
+    def ids(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts, and each one's number of ids."""
+        if self.apart:
+            return self.table.ids([self.chunks(x) if x else [] for x in batch])
+        ids = self._each(batch)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum())), sizes
 
 
 @lru_cache(maxsize=2)
@@ -228,7 +311,7 @@ def write(df: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["part", "shard", "n_docs", "n_ids", "data"])
 
         for batch in slices(batches, "text"):
-            flat, counts = tokens.ids([x.replace("\n", " ").split(" ") if x else [] for x in texts(batch, "text")])
+            flat, counts = tokens.ids(texts(batch, "text"))
             with_end = np.insert(flat, np.cumsum(counts), end_id)
             ids.append(with_end)
             sizes.append(counts + 1)

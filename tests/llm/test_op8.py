@@ -22,6 +22,52 @@ def test_query_like_the_library(spark, tmp_path):
         start += len(ids)
 
 
+def test_ids_of_odd_texts_like_the_library():
+    rng = random.Random(12)
+    parts = ["BİLGİ", "İ", "ΑΣ", "É", "e\u0301", "H\u0331", "ﬁ", "ǰ", "J\u030c", "ª", "²", "3", "½", "\xa0", "\x85", "\x1c", "\t", "\n", " ", "  ", ".", ",", "..", ".,", "!", ")", "'S", "'ll", "\u2019", "…", "word", "Word", "ß", "Ǆ", "<|", "|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "日本", "K", "\U0001f600", "\u0307", "-"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(6000)]
+    texts += [" ".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(6000)]
+    tokens = B._tokens(B.tokenizer_path())
+    assert tokens.apart
+    flat, sizes = tokens.ids(texts)
+    want = [x.ids for x in tokens.library.encode_batch(texts, add_special_tokens=False)]
+    ends = np.cumsum(sizes)
+    assert [flat[b - n : b].tolist() for b, n in zip(ends, sizes)] == want
+
+
+def test_other_tokenizers_get_whole_texts():
+    import public_tokenizers
+
+    tokens = B._Tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not tokens.apart
+    texts = ["Hello  world. It's", "", "a b\nc", "é "]
+    flat, sizes = tokens.ids(texts)
+    assert flat.tolist() == [i for x in texts for i in tokens.library.encode(x, add_special_tokens=False).ids] and sizes[1] == 0
+
+
+def _pairs_left(x):
+    """How often the commonest pair, documents' last ids apart, still stands in a shard's symbols."""
+    n = {}
+    for a, b in zip(x.starts, x.starts[1:]):
+        own = x.symbols[a : b - 1].tolist()
+        for p in zip(own, own[1:]):
+            n[p] = n.get(p, 0) + 1
+    return max(n.values(), default=0)
+
+
+def test_no_frequent_pair_is_left_and_symbols_may_outgrow_16_bits(monkeypatch):
+    rng = np.random.default_rng(1)
+    phrase = rng.integers(2, 40_000, 3000).astype(np.uint32)
+    flat = np.concatenate([*[phrase] * 20, rng.integers(2, 40_000, 50_000).astype(np.uint32), [1]]).astype(np.uint32)
+    x = B.Shard(B.compress(flat, [5], np.array([flat.size])))
+    assert _pairs_left(x) < B.LEAST and x.document(0).tolist() == flat.tolist()
+    assert x.expansion.max() >= 2000  # a passage that recurs is one symbol, or nearly
+    monkeypatch.setattr(B, "LEAST", 2)
+    many = np.concatenate([np.repeat(np.arange(2, 90_002, dtype=np.uint32), 1)] * 2 + [np.array([1], np.uint32)])
+    x = B.Shard(B.compress(many, [5], np.array([many.size])))
+    assert x.terminals.size + x.left.size > 1 << 16 and _pairs_left(x) < 2 and x.document(0).tolist() == many.tolist()
+
+
 def test_grammar_round_trip_and_random_access():
     rng = random.Random(5)
     words = [[rng.randrange(40000) for _ in range(rng.randrange(1, 5))] for _ in range(60)]
