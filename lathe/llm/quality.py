@@ -9,8 +9,9 @@ compiled into one Spark column, so scoring all documents is a projection: no
 shuffle, no Python.
 
 Defined cases: a null text is the empty text, whose statistics are all 0 and
-which has a score like any other; label rows without id or label are skipped,
-and one of several for an id is as good as another; without any labelled row
+which has a score like any other; label rows without id or label are skipped, of
+several for an id the greatest label counts, and of several texts of an id the
+one with the least hash; without any labelled row
 the score is 0.5, with one class only the share of that class; repeated rows are
 scored alike; columns named like an output are replaced.
 """
@@ -161,20 +162,27 @@ def fit_rows(x: np.ndarray, y: np.ndarray, names: list[str], seed: int = 1) -> R
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> RuleModel:
     """Fit to labelled documents; of more than `sample`, the least by a hash of their ids are taken."""
-    usable = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).filter("id is not null and y is not null")
+    usable = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).filter("id is not null and y is not null").groupBy("id").agg(F.max("y").alias("y"))
     some = usable.orderBy(F.xxhash64(F.col("id").cast("string"), F.lit("quality")), "id").limit(sample)  # the bound of what is broadcast
     parts = statistics(F.col("t"))
-    rows = docs.select(F.col(doc_id).alias("id"), text_of(text).alias("t")).join(F.broadcast(some), "id").select("y", *(c.alias(n) for n, c in parts.items())).limit(2 * sample).toPandas()
+    found = docs.select(F.col(doc_id).alias("id"), text_of(text).alias("t")).join(F.broadcast(some), "id").select("id", "y", F.xxhash64("t").alias("h"), F.struct(*(c.alias(n) for n, c in parts.items())).alias("s"))
+    one = found.groupBy("id").agg(F.any_value("y").alias("y"), F.min_by("s", "h").alias("s"))  # a row for each id of the sample
+    rows = one.select("y", "s.*").toPandas()
     rows = rows.sort_values([*rows.columns]).to_numpy(np.float64)  # the same order whatever the tasks' order
     return fit_rows(rows[:, 1:], rows[:, 0], list(parts))
 
 
 def score(docs: DataFrame, model: RuleModel, text: str = "text", out: str = "score") -> DataFrame:
-    """Append the model's score to every row."""
+    """Append the model's score to every row.
+
+    The score is made where it stands: a filter on it is not pushed below, where
+    it would evaluate the statistics anew for every condition of every rule.
+    """
     docs = docs.drop(out)
     parts = statistics(text_of(text))
     inner = docs.select("*", F.struct(*(c.alias(n) for n, c in parts.items())).alias("__statistics"))
-    return inner.select(*docs.columns, model.column(lambda s: F.col(f"__statistics.{s}")).alias(out))
+    scored = inner.select(*docs.columns, model.column(lambda s: F.col(f"__statistics.{s}")).alias("__made"))
+    return scored.select(*docs.columns, F.explode(F.array("__made")).alias(out))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
