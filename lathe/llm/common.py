@@ -71,3 +71,25 @@ def partitions(df: DataFrame) -> int:
 def lower_ascii(col: Column) -> Column:
     """A-Z lower-cased, all other letters as they are."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+#: Keys that hold more than one in HOT_KEYS of all rows are spread over SPREAD tasks each; fewer than HOT_KEYS keys can.
+HOT_KEYS, SPREAD = 1000, 32
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], weight: str, by: list[str]) -> DataFrame:
+    """Inner join on columns of 64-bit numbers with a side of unique keys, of which `weight` tells how many rows of the left one has.
+
+    A key that holds more than one in HOT_KEYS of all rows is dealt out by a hash
+    of the columns `by` over SPREAD tasks, and its one row on the right goes to each
+    of them. Which keys these are is sent to all executors: fewer than HOT_KEYS rows
+    of numbers, whatever the table.
+    """
+    right = staged(right)
+    total = right.agg(F.sum(weight)).first()[0] or 0
+    heavy = F.col(weight) * HOT_KEYS > total
+    hot = right.filter(heavy).select(*on, F.lit(True).alias("__hot"))
+    marked = left.join(F.broadcast(hot), on, "left")
+    salted = marked.withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*by), F.lit(SPREAD))).otherwise(0).cast("int")).drop("__hot")
+    copies = right.withColumn("__salt", F.explode(F.when(heavy, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0))))).drop(weight)
+    return salted.join(copies, [*on, "__salt"]).drop("__salt")
