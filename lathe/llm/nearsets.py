@@ -1,6 +1,9 @@
 """Near-duplicates of the pipeline: all pairs of shingle sets at Jaccard similarity 0.8 or more.
 
-Exact candidates by prefix filter: with all shingles in one global order, two
+SimHash goes first: sets whose fingerprints meet in pigeonhole blocks and are
+within two bits are candidates (`simhash.links`), verified like all others. Two
+bits reach few pairs near 0.8, so the rest is completed by a prefix filter over
+sets that are not yet in one group, which is exact: with all shingles in one global order, two
 sets of similarity 4/5 share a shingle among the first n - ceil(4n/5) + 1 of
 each. The order is by hash, behind which come the commonest shingles of a sample
 of the documents (`DEMOTED` at most, commonest last); any order is exact, this
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 
 from lathe.llm.arrow import slices, texts
 from lathe.llm.common import session, staged, text_of
-from lathe.llm.simhash import components
+from lathe.llm.simhash import bits_of, components, links
 
 CROWDED, LEADERS, DEMOTED = 16, 4, 200_000
 #: One document in SAMPLED is counted for the order, and shingles that OFTEN of them have are common.
@@ -111,6 +114,14 @@ def _pairs(left: DataFrame, right: DataFrame, *more: str, leads: bool = False) -
     return a.join(b, "s").filter("a <> b" if leads else "a < b").filter(_may_reach()).withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")})
 
 
+def _by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes within two bits: of equal fingerprints each with the least node, of close ones the two least."""
+    least = staged(nodes.groupBy("fp").agg(F.min("node").alias("least")))
+    equal = nodes.select("fp", "node").join(least, "fp").filter("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    ends = links(least.select("fp")).join(least.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a").join(least.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b")
+    return equal.union(ends.select(F.least("x", "y"), F.greatest("x", "y")))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """Those of some pairs (a, b) of nodes whose sets are 0.8 alike or more."""
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -138,29 +149,35 @@ def firsts(docs: DataFrame, width: int = 5, doc_id: str = "doc_id", text: str =
             names = pa.array([node(x) for x in sets], pa.int64())
             sizes = pa.array([x.size for x in sets], pa.int64())
             bits = [pa.array(x) for x in np.ascontiguousarray(np.array([sketch(x) for x in sets]).T)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), names, sizes, _lists([_prefix(x, *shared.value) for x in sets]), *bits], ["id", "h", "node", "n", "prefix", *SKETCH])
+            fps = pa.array([bits_of(x.view(np.uint64)) if x.size else 0 for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), names, sizes, fps, _lists([_prefix(x, *shared.value) for x in sets]), *bits], ["id", "h", "node", "n", "fp", "prefix", *SKETCH])
 
     kind = docs.schema["id"].dataType.simpleString()
-    marks = docs.mapInArrow(run, f"id {kind}, h long, node long, n long, prefix array<long>, {', '.join(f'{x} long' for x in SKETCH)}")
+    marks = docs.mapInArrow(run, f"id {kind}, h long, node long, n long, fp long, prefix array<long>, {', '.join(f'{x} long' for x in SKETCH)}")
     rep = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
-    nodes = staged(marks.groupBy("node").agg(F.min(rep).alias("rep"), *(F.any_value(x).alias(x) for x in ("n", "prefix", *SKETCH))))
+    nodes = staged(marks.groupBy("node").agg(F.min(rep).alias("rep"), *(F.any_value(x).alias(x) for x in ("n", "fp", "prefix", *SKETCH))))
+
+    close = staged(_verified(staged(_by_fingerprint(nodes)), docs, nodes, width))
+    joined = components(close).withColumnRenamed("fp", "node")
+    rooted = nodes.select("node", *SKETCH).join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
     posts = nodes.select("node", "n", F.posexplode("prefix").alias("at", "s")).select("node", "n", "s", (F.col("at") + 1).alias("i"))
     many = posts.groupBy("s").agg(F.count("*").alias("of")).filter("of > 1")
-    met = staged(posts.join(many, "s").join(nodes.select("node", *SKETCH), "node"))
+    met = staged(posts.join(many, "s").join(rooted, "node"))
     few, crowd = met.filter(F.col("of") <= CROWDED), met.filter(F.col("of") > CROWDED)
     place = F.row_number().over(Window.partitionBy("s").orderBy("i", "node"))
     leads = staged(crowd.select("s", "i", "node").withColumn("place", place).filter(F.col("place") <= LEADERS).select("s", "node"))
-    near = _pairs(crowd.join(leads, ["s", "node"]), crowd, leads=True)
-    links = staged(_verified(staged(_pairs(few, few).select("a", "b").union(near.select("a", "b")).distinct()), docs, nodes, width))
-    root = components(links)
+    near = _pairs(crowd.join(leads, ["s", "node"]), crowd, "root", leads=True)
+    found = _verified(staged(_pairs(few, few, "root").filter("root_a <> root_b").select("a", "b").union(near.filter("root_a <> root_b").select("a", "b")).distinct()), docs, nodes, width)
+    all_links = staged(close.union(found))
+    root = components(all_links)
 
-    named = crowd.join(root.withColumnRenamed("fp", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = crowd.drop("root").join(root.withColumnRenamed("fp", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = named.groupBy("s").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("s")
     rest = staged(named.join(open_, "s").join(leads.withColumn("led", F.lit(True)), ["s", "node"], "left").filter("led is null").drop("led"))
     left = staged(_pairs(rest, rest, "root").filter("root_a <> root_b").select("a", "b").distinct())
     if not left.isEmpty():
-        root = components(links.union(_verified(left, docs, nodes, width)))
+        root = components(all_links.union(_verified(left, docs, nodes, width)))
 
     of = nodes.select("node", "rep").join(root.withColumnRenamed("fp", "node"), "node", "left")
     return of.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("rep").alias("rep")).select("rep.id", "rep.h")

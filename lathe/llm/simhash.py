@@ -13,7 +13,8 @@ number of distinct fingerprints, never with the square of a group.
 
 Equal fingerprints are one node. Components are found on the linked
 fingerprints alone, by least-neighbour labels with pointer jumping; every round
-is a written table, and nothing but a count and a sum reaches the driver.
+is a written table, and nothing but a count and a sum reaches the driver. The
+component of a fingerprint that many documents have is sent to several tasks.
 
 Defined cases: a null or empty text has fingerprint 0, linked like any other;
 repeated rows share a component; a null doc_id never names a component unless
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lathe.llm.arrow import slices, texts, with_columns
-from lathe.llm.common import session, staged, table
+from lathe.llm.common import session, spread_join, staged, table
 
 #: Fingerprints under one key that are compared pair by pair; more are linked through shared points.
 CROWDED = 16
@@ -41,6 +42,12 @@ _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder=
 _PLACE = np.arange(8, dtype=np.int64) * 256
 
 
+def bits_of(h: np.ndarray) -> int:
+    """The signed 64-bit fingerprint of some hashes: the bits set in over half of them."""
+    counts = np.bincount((h.view(np.uint8).reshape(h.size, 8) + _PLACE).ravel(), minlength=2048).reshape(8, 256) @ _BITS
+    return int(np.packbits(counts.ravel() * 2 > h.size, bitorder="little").view(np.int64)[0])
+
+
 def fingerprint(text: str, width: int) -> int:
     """The signed 64-bit fingerprint of one text."""
     from xxhash import xxh64_intdigest
@@ -50,9 +57,7 @@ def fingerprint(text: str, width: int) -> int:
         return 0
     grams = map(b" ".join, zip(*(words[k:] for k in range(width)))) if len(words) >= width else [b" ".join(words)]
     n = max(1, len(words) - width + 1)
-    h = np.fromiter(map(xxh64_intdigest, grams, repeat(42)), np.uint64, n)
-    counts = np.bincount((h.view(np.uint8).reshape(n, 8) + _PLACE).ravel(), minlength=2048).reshape(8, 256) @ _BITS
-    return int(np.packbits(counts.ravel() * 2 > n, bitorder="little").view(np.int64)[0])
+    return bits_of(np.fromiter(map(xxh64_intdigest, grams, repeat(42)), np.uint64, n))
 
 
 def fingerprints(df: DataFrame, text: str = "text", width: int = 3, out: str = "simhash") -> DataFrame:
@@ -121,12 +126,12 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
 
 def groups(docs: DataFrame, max_bits: int = 2, doc_id: str = "doc_id", fp: str = "simhash") -> DataFrame:
     """Rows (doc_id, simhash) of a table that can be read again, with component_id."""
-    nodes = staged(docs.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("rep")))
+    nodes = staged(docs.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("rep"), F.count("*").alias("n")))
     root = components(links(nodes.select("fp"), max_bits))
     least = root.join(nodes, "fp").groupBy("root").agg(F.min("rep").alias("component_id"))
     of = root.join(least, "root").select("fp", "component_id")
-    every = nodes.join(of, "fp", "left").select(F.col("fp").alias(fp), F.coalesce("component_id", "rep").alias("component_id"))
-    return docs.join(every, fp)
+    every = nodes.join(of, "fp", "left").select(F.col("fp").alias(fp), F.coalesce("component_id", "rep").alias("component_id"), "n")
+    return spread_join(docs, every, [fp], "n", [doc_id])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

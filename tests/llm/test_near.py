@@ -1,3 +1,4 @@
+import os
 import random
 
 import corpus_pipeline as C
@@ -75,3 +76,38 @@ def test_null_and_repeated_ids_lose_near_duplicates_only(spark, tmp_path):
     got = C.near_stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
     assert got.columns == C.COLUMNS
     assert sorted(((str(r.doc_id), r.text) for r in got.collect())) == sorted([("8", a), ("9", f"{b} more"), ("None", c), ("7", d), ("7", e)])
+
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="needs the test tables")
+def test_recall_on_a_table(spark):
+    """All pairs of different sets at 0.8 or more, and only these, decide which documents of the raw table stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = sorted((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect())
+    words = [t.encode().lower().split() for _, t in rows]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    having, root, linked = {}, list(range(len(sets))), 0
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        shared = {}
+        for g in a:
+            for j in having.setdefault(g, []):
+                shared[j] = shared.get(j, 0) + 1
+            having[g].append(i)
+        for j, n in shared.items():
+            if 5 * n >= 4 * (len(a) + len(sets[j]) - n):
+                linked += a != sets[j]
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    assert linked >= 5 and all(sets[:1])
+    got = [r.doc_id for r in C.near_stage(spark, docs, SF).collect()]
+    empty = [i for i, a in enumerate(sets) if not a]
+    want = {rows[find(i)][0] for i in range(len(sets)) if i not in empty[1:]}
+    assert sorted(got) == sorted(want)
