@@ -30,12 +30,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines, short ones too, whose template came earlier; n_chars follows."""
-    done = linededup.drop_recurring(docs.select(COLUMNS), least=1)
+    done = linededup.drop_recurring(docs.select(COLUMNS))
     return done.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, Jaccard 0.8 or more), the one with the least id."""
+    """One document of each group of near-duplicates, the one with the least id.
+
+    Five-word shingles, Jaccard 0.8 or more: candidates by SimHash blocks, completed by an exact prefix filter.
+    """
     first = staged(nearsets.firsts(docs.select("doc_id", "text"), WIDTH)).select(F.col("id").alias("__kept"), F.col("h").alias("__of"))
     keyed = docs.select(*COLUMNS, F.xxhash64(text_of("text")).alias("__hash"))
     kept = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.col("__hash") == F.col("__of")), "left_semi")
