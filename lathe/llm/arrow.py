@@ -12,8 +12,6 @@ import pyarrow.compute as pc
 
 #: Text bytes handled at once in a Python worker; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
-#: Entries over which a chunk table is cut back, so that memory stays bounded.
-TABLE_ENTRIES = 400_000
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -53,11 +51,11 @@ class ChunkTable(dict):
     """Distinct chunks by number, with the ids of each; a new chunk is segmented once.
 
     `segment` turns a list of chunks into as many lists of ids. Over
-    `TABLE_ENTRIES` chunks the table keeps only those used most, half of them at
+    `most` chunks the table keeps only those used most, half of them at
     most, so it never outgrows a worker.
     """
 
-    def __init__(self, segment: Callable[[list[str]], list[list[int]]], most: int = TABLE_ENTRIES):
+    def __init__(self, segment: Callable[[list[str]], list[list[int]]], most: int):
         super().__init__()
         self.segment, self.most = segment, most
         self.new: list[str] = []

@@ -4,7 +4,7 @@ No piece of the vocabulary crosses a whitespace marker (checked when the plan is
 made): a marked word is segmented alike wherever it stands. Each Python worker
 therefore keeps a table of distinct marked words, has the sentencepiece library
 segment each new one once, and joins the ids back by position with one numpy
-gather. The table is bounded (`arrow.TABLE_ENTRIES`), lives as long as the
+gather. The table is bounded (`CHUNKS`), lives as long as the
 worker and is no part of the result, so a lost executor costs only its tasks.
 Nothing is shuffled: a corpus-wide table would have to move a row per word of
 the corpus, several times the input, to save little more than the repeats that
@@ -31,6 +31,8 @@ from lathe.llm.arrow import ChunkTable, gather, slices, texts, with_columns
 from lathe.llm.common import session, table
 
 MARK = "▁"
+#: Distinct marked words that a worker remembers.
+CHUNKS = 200_000
 CHUNK = re.compile(r" +[^ \n]*|\n[^ \n]*")
 
 
@@ -52,7 +54,7 @@ class _Model:
         self.size = np.fromiter(map(len, surface), np.int64, n)
         self.at = np.cumsum(self.size) - self.size
         self.bytes = np.frombuffer(b"".join(surface), np.uint8)
-        self.table = ChunkTable(self.segment)
+        self.table = ChunkTable(self.segment, CHUNKS)
 
     def segment(self, chunks: list[str]) -> list[list[int]]:
         """A chunk is a word after a marker, or a line end and what follows it (then the library's own marker goes)."""
@@ -96,10 +98,14 @@ def _model(path: str) -> _Model:
     return _Model(path)
 
 
-def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids", count: str = "n_tokens", begin: bool = True, end: bool = True) -> DataFrame:
-    """Append `ids` (binary: little-endian unsigned 32-bit integers) and `count` (long) to every row."""
+def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids", count: str = "n_tokens", begin: bool = True, end: bool = True, decoded: str | None = None) -> DataFrame:
+    """Append `ids` (binary: little-endian unsigned 32-bit integers) and `count` (long) to every row.
+
+    With `decoded` the text that the library's decode(ids) gives is appended too,
+    by the same worker, so ids need not travel to another.
+    """
     session(df)
-    df = df.drop(ids, count)
+    df = df.drop(ids, count, *[decoded] * bool(decoded))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(model_path)
@@ -109,9 +115,12 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids",
             flat, sizes = m.encode(texts(batch, text))
             data, ends = memoryview(flat.astype("<u4", copy=False)).cast("B"), np.cumsum(sizes) * 4
             packed = [b"".join((head, data[a:b], tail)) for a, b in zip(ends - sizes * 4, ends)]
-            yield with_columns(batch, **{ids: pa.array(packed, pa.binary()), count: pa.array(sizes + begin + end, pa.int64())})
+            # The begin and end ids have no surface.
+            again = {decoded: pa.array(m.decode(flat, sizes), pa.string())} if decoded else {}
+            yield with_columns(batch, **{ids: pa.array(packed, pa.binary()), count: pa.array(sizes + begin + end, pa.int64())}, **again)
 
-    schema = T.StructType([*df.schema.fields, T.StructField(ids, T.BinaryType()), T.StructField(count, T.LongType())])
+    more = [T.StructField(decoded, T.StringType())] * bool(decoded)
+    schema = T.StructType([*df.schema.fields, T.StructField(ids, T.BinaryType()), T.StructField(count, T.LongType()), *more])
     return df.mapInArrow(run, schema)
 
 
@@ -148,5 +157,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded; digests of both. No SQL can express it: tested against the library."""
     path = model_path()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = decode(encode(docs, path).drop("text"), path)
+    done = encode(docs, path, decoded="decoded")
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
