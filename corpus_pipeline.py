@@ -55,7 +55,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, with digests of the ids and of the text decoded from them."""
     path = sentencepieces.model_path()
-    done = sentencepieces.decode(sentencepieces.encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    done = sentencepieces.encode(docs.select("doc_id", "text"), path, decoded="decoded")
     return done.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
