@@ -105,7 +105,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids",
     by the same worker, so ids need not travel to another.
     """
     session(df)
-    df = df.drop(ids, count, *[decoded] * bool(decoded))
+    df = df.drop(ids, count, *([decoded] if decoded else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(model_path)
@@ -119,7 +119,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids",
             again = {decoded: pa.array(m.decode(flat, sizes), pa.string())} if decoded else {}
             yield with_columns(batch, **{ids: pa.array(packed, pa.binary()), count: pa.array(sizes + begin + end, pa.int64())}, **again)
 
-    more = [T.StructField(decoded, T.StringType())] * bool(decoded)
+    more = [T.StructField(decoded, T.StringType())] if decoded else []
     schema = T.StructType([*df.schema.fields, T.StructField(ids, T.BinaryType()), T.StructField(count, T.LongType()), *more])
     return df.mapInArrow(run, schema)
 
