@@ -32,6 +32,20 @@ def devices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PEAK_FLOPS, "device string, peak_flops double")
 
 
-def report_text(row: Column | None = None) -> Column:
-    """A budget row as one readable line."""
-    return F.printf(F.lit("C %.3e FLOPs, N %.1f M params, D %.2f B tokens, 6ND %.3e, D/N %.1f"), F.col("c"), F.col("n") / 1e6, F.col("d") / 1e9, F.col("check_6nd"), F.col("ratio"))
+def report_text() -> Column:
+    """A row of `budget_report` as readable lines."""
+    lines = [
+        ("Budget: %d GPU x %d h @ %.0f%% MFU", F.col("gpus"), F.col("hours"), 100 * F.col("mfu")),
+        ("Compute C: %.3e FLOPs", F.col("c")),
+        ("Optimal N: %.1f M params", F.col("n") / 1e6),
+        ("Optimal D: %.2f B tokens", F.col("d") / 1e9),
+        ("Sanity 6ND: %.3e", F.col("check_6nd")),
+        ("Ratio D/N: %.1f tokens/param", F.col("ratio")),
+    ]
+    return F.concat_ws("\n", *(F.printf(F.lit(x), *of) for x, *of in lines))
+
+
+def report(spark: SparkSession, gpus: int = 1, hours: int = 1, device: str = "l4", mfu: float = 0.30, tokens_per_param: float = TOKENS_PER_PARAM) -> DataFrame:
+    """One budget as a row with its text."""
+    row = devices(spark).filter(F.col("device") == device).select("device", "peak_flops", F.lit(gpus).cast("long").alias("gpus"), F.lit(hours).cast("long").alias("hours"), F.lit(mfu).alias("mfu"), F.lit(tokens_per_param).alias("tokens_per_param"))
+    return budget_report(row).withColumn("report", report_text())

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lathe.sources.staging import session, staged
+
 EPSILON = 1e-5
 
 
@@ -184,12 +186,15 @@ def _unpack(data: bytes, like: Parameters) -> Parameters:
 
 
 def _rows(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    return np.array(batch.column(name).to_pylist(), np.int64)
+    column = batch.column(name)
+    if pa.types.is_binary(column.type):
+        return np.array([np.frombuffer(x, np.uint8) for x in column.to_pylist()], np.int64)
+    return np.array(column.to_pylist(), np.int64)
 
 
 def batch_gradient(windows: DataFrame, p: Parameters, c: Config) -> tuple[float, int, Parameters]:
     """Summed loss, number of positions and summed gradient of some windows; a row per task reaches the driver."""
-    shared = windows.sparkSession.sparkContext.broadcast(p)  # its size is the configuration's
+    shared = session(windows).sparkContext.broadcast(p)  # its size is the configuration's
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loss, n, total = 0.0, 0, None
@@ -211,7 +216,7 @@ def batch_gradient(windows: DataFrame, p: Parameters, c: Config) -> tuple[float,
 
 def evaluate(windows: DataFrame, p: Parameters, c: Config) -> DataFrame:
     """(batch_id, loss): the mean loss of each batch of windows."""
-    shared = windows.sparkSession.sparkContext.broadcast(p)
+    shared = session(windows).sparkContext.broadcast(p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,6 +235,8 @@ def train(train_windows: DataFrame, val_windows: DataFrame, p: Parameters, c: Co
     means. A table without windows is an error.
     """
     optimizer = optimizer or AdamW()
+    # In order of batch_id, a step reads the row groups of its batch and no others.
+    train_windows = staged(train_windows.repartitionByRange("batch_id").sortWithinPartitions("batch_id"))
     n = train_windows.agg(F.max("batch_id")).first()[0]
     if n is None or val_windows.isEmpty():
         raise ValueError("no windows to train or validate on")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathe.functions import seq as S
-from lathe.sources.staging import staged
+from lathe.sources.staging import session, staged
 
 BASE = 256
 #: Rounds between two writings of the segments, and bytes of a joined segment.
@@ -395,6 +395,7 @@ def train(df: DataFrame, vocab_size: int, min_frequency: int = 2, mode: str = "d
     of doc_id.
     """
     init = init or Tokenizer()
+    session(df)
     df = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if mode == "document_bounded":
         cores = df.sparkSession.sparkContext.defaultParallelism

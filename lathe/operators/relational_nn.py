@@ -1,9 +1,10 @@
-"""The parts of a decoder-only transformer as column expressions and window functions.
+"""The parts of a decoder-only transformer as column expressions.
 
 A position is a row (b, t, x) with its activations packed in an array: a linear
 layer is then a projection against a literal weight matrix, without join or
-shuffle. Attention needs the earlier positions of its batch row; a window frame
-that ends at the current row is the causal mask itself.
+shuffle. Attention needs the earlier positions of its batch row: a sequence, whose
+length is the model's context at most, is gathered into one row, and the slice up
+to a position is the causal mask itself.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 EPSILON = 1e-5
 
@@ -79,9 +79,8 @@ def attention(df: DataFrame, wq, wk, wv, wo, heads: int, x: str = "x", out: str
     if len(wq) % heads:
         raise ValueError("the projection must be divisible by the number of heads")
     size = len(wq) // heads
-    projected = df.withColumns({"__q": linear(F.col(x), wq), "__kv": F.struct(linear(F.col(x), wk).alias("k"), linear(F.col(x), wv).alias("v"))})
-    seen = Window.partitionBy("b").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    with_past = projected.withColumn("__past", F.collect_list("__kv").over(seen))
+    projected = F.struct("t", *(linear(F.col(x), w).alias(n) for n, w in (("q", wq), ("k", wk), ("v", wv))), F.struct(*df.columns).alias("row"))
+    sequences = df.groupBy("b").agg(F.sort_array(F.collect_list(projected)).alias("__seq"))
 
     def head(h: int, q: Column, past: Column) -> Column:
         """Output of one head: softmax of the scaled scores over the past, times the past values."""
@@ -91,8 +90,12 @@ def attention(df: DataFrame, wq, wk, wv, wo, heads: int, x: str = "x", out: str
         pairs = let(softmax(scores), lambda p: F.zip_with(p, past, lambda y, e: F.struct(y.alias("p"), part(e["v"]).alias("v"))))
         return F.aggregate(pairs, zero, lambda acc, e: F.zip_with(acc, e["v"], lambda s, v: s + e["p"] * v))
 
-    heads_of = F.concat(*(head(h, F.col("__q"), F.col("__past")) for h in range(heads)))
-    return with_past.select(*df.columns, (linear(heads_of, wo) if wo is not None else heads_of).alias(out))
+    def position(e: Column, i: Column) -> Column:
+        merged = let(F.slice("__seq", 1, i + 1), lambda past: F.concat(*(head(h, e["q"], past) for h in range(heads))))
+        return F.struct(e["row"].alias("row"), (linear(merged, wo) if wo is not None else merged).alias("o"))
+
+    rows = sequences.select(F.explode(F.transform("__seq", position)).alias("__e"))
+    return rows.select("__e.row.*", F.col("__e.o").alias(out))
 
 
 def feed_forward(x: Column, w1, w2) -> Column:

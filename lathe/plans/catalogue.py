@@ -18,12 +18,14 @@ from lathe.operators import bpe
 from lathe.operators import relational_nn as R
 from lathe.operators import windows as W
 from lathe.sources import corpus
+from lathe.sources.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The rules of the encoding queries ("e ", "th", "the", "the "), and learning in the training queries.
 RULES = ((101, 32, 256), (116, 104, 257), (257, 101, 258), (258, 32, 259))
-LEARNED, LEAST = 4, 2
+LEARNED, LEAST, OFTEN = 4, 2, 10
+FOLDED, FOLD_RULES, FOLD_LEAST = 3, 9, 40
 DIM, HEADS, CONTEXT, WIDE = 64, 4, 16, 256
 
 
@@ -31,6 +33,11 @@ def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.documents(spark, sf_dir).select("doc_id", S.to_ids(S.from_text(F.col("text"))).alias("ids"))
 
 
+def _bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their ids packed, one byte for each."""
+    return _spread(corpus.documents(spark, sf_dir)).select("doc_id", F.encode("text", "UTF-8").alias("ids"))
+
+
 def _spread(df: DataFrame) -> DataFrame:
     """A single file is one task: deal its rows out over the cores. Tables of many files are left as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -53,6 +60,15 @@ def q03(spark, d):
     return _ids(spark, d).select("doc_id", F.size("ids").cast("long").alias("n_ids"), _hex(F.col("ids")).alias("ids_hex"))
 
 
+def q03_slices(spark, d):
+    """The first ten ids of each item, the text of its first ten bytes, and its number of bytes."""
+    items = corpus.documents(spark, d, "benchmark", "item_id").select("doc_id", F.encode("text", "UTF-8").alias("b"))
+    head = F.substring("b", F.lit(1), F.lit(10))
+    ids = F.transform(S.to_ids(F.decode(head, "ISO-8859-1")), lambda i: i.cast("string"))
+    text = F.decode(F.when(F.try_validate_utf8(head.cast("string")).isNotNull(), head), "UTF-8")
+    return items.select(F.col("doc_id").alias("item_id"), F.array_join(ids, " ").alias("first_ids"), text.alias("first_text"), F.octet_length("b").cast("long").alias("n_bytes"))
+
+
 def q04(spark, d):
     return bpe.base_vocab(spark).select(F.col("token_id").cast("long").alias("token_id"), F.hex("bytes").alias("bytes_hex"))
 
@@ -116,6 +132,16 @@ def q14(spark, d):
     return _learned(spark, *bpe.train(corpus.documents(spark, d), bpe.BASE + LEARNED, LEAST, mode="joined"))
 
 
+def q08_often(spark, d):
+    return _learned(spark, *bpe.train(corpus.documents(spark, d), bpe.BASE + LEARNED, OFTEN))
+
+
+def q15_few(spark, d):
+    """The fold over the first documents: a later one goes on with the rules of those before."""
+    few = corpus.first(corpus.documents(spark, d), FOLDED)
+    return _learned(spark, *bpe.train(few, bpe.BASE + FOLD_RULES, FOLD_LEAST, mode="per_document_fold"))
+
+
 def q15(spark, d):
     return _learned(spark, *bpe.train(corpus.documents(spark, d), 1000, LEAST, mode="per_document_fold"))
 
@@ -135,29 +161,39 @@ def q16_row(spark, d):
 
 
 def q17(spark, d):
-    return corpus.batches(corpus.documents(spark, d).select("doc_id"), 1000).groupBy("batch_id").agg(F.count("*").alias("n_docs"))
+    """Batches carry their documents."""
+    return corpus.batches(corpus.documents(spark, d), 1000).select("batch_id", "doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 def _windows(context: int, stride: int) -> Query:
     def run(spark, d):
-        w = W.windows(_ids(spark, d), context, stride)
-        return w.select("doc_id", F.col("start").cast("long").alias("start"), _hex(F.col("input")).alias("x_hex"), _hex(F.col("target")).alias("y_hex"))
+        w = W.windows(_bytes(spark, d), context, stride)
+        return w.select("doc_id", F.col("start").cast("long").alias("start"), F.hex("input").alias("x_hex"), F.hex("target").alias("y_hex"))
 
     return run
 
 
 def q18_count(spark, d):
-    return _ids(spark, d).select("doc_id", W.count_of(F.size("ids"), 512, 512).alias("n"))
+    return corpus.documents(spark, d).select("doc_id", W.count_of(F.octet_length("text"), 512, 512).alias("n"))
+
+
+def _carried(batches: DataFrame) -> DataFrame:
+    digest = lambda c: F.md5(F.hex(c).cast("binary"))
+    return batches.select("batch_id", "window_id", "doc_id", F.col("start").cast("long").alias("start"), digest("input").alias("x_md5"), digest("target").alias("y_md5"))
 
 
 def q19(spark, d):
-    w = W.windows(_ids(spark, d), 512, 512).select("doc_id", "start")
-    return W.batches(w).groupBy("batch_id").agg(F.count("*").alias("n"))
+    """Batches carry their windows, inputs and targets."""
+    return _carried(W.batches(W.numbered(_bytes(spark, d), 512, 512)))
 
 
 def q19_shuffled(spark, d):
-    w = W.windows(_ids(spark, d), 512, 512).select("doc_id", "start")
-    return W.shuffled_batches(w, seed=7).groupBy("batch_id").agg(F.count("*").alias("n"), F.sum("window_id").alias("ids")).select("batch_id", "n")
+    return _carried(W.shuffled_batches(W.numbered(_bytes(spark, d), 512, 512), seed=7))
+
+
+def q19_window(spark, d):
+    """One window by its place."""
+    return W.window_at(W.numbered(_bytes(spark, d), 512, 512), 500).select("window_id", "doc_id", F.col("start").cast("long").alias("start"), F.hex("input").alias("x_hex"), F.hex("target").alias("y_hex"))
 
 
 def q20(spark, d):
@@ -166,6 +202,11 @@ def q20(spark, d):
     return out.select("device", "gpus", "hours", "mfu", *(F.round(F.col(c) / 1e6, 3).alias(c) for c in ("c", "n", "d")), F.round("ratio", 6).alias("ratio"))
 
 
+def q20_report(spark, d):
+    """The default budget, one accelerator for an hour, as text."""
+    return scaling.report(spark).select("device", F.round(F.col("check_6nd") / 1e9, 3).alias("check_6nd"), "report")
+
+
 def _vectors(spark, d) -> DataFrame:
     v = _spread(corpus.table(spark, d, "embeddings"))
     b, t = F.floor(F.col("vec_id") / CONTEXT).cast("long"), (F.col("vec_id") % CONTEXT).cast("int")
@@ -223,6 +264,12 @@ def q27(spark, d):
     return _values(_by_place(R.block(_vectors(spark, d).select("b", "t", "x"), _weights(), HEADS)), "x", "o")
 
 
+def q27_stack(spark, d):
+    """Two blocks, one after the other."""
+    once = R.block(_vectors(spark, d).select("b", "t", "x"), _weights(), HEADS)
+    return _values(_by_place(R.block(once, _weights(), HEADS)), "x", "o")
+
+
 def q28(spark, d):
     return _vectors(spark, d).select(F.round(F.avg(R.cross_entropy(F.col("x"), F.col("label"))), 6).alias("loss"))
 
@@ -247,10 +294,7 @@ def q31(spark, d):
 def _toy_windows(spark, d, split: str) -> DataFrame:
     items = corpus.documents(spark, d, "benchmark", "item_id")
     ids = corpus.split(items, split).select("doc_id", S.to_ids(S.from_text(F.col("text"))).alias("ids"))
-    w = W.batches(W.windows(ids, TOY.context_size, TOY.context_size))
-    from lathe.sources.staging import staged
-
-    return staged(w.select("batch_id", "input", "target"))
+    return staged(W.batches(W.numbered(ids, TOY.context_size, TOY.context_size)).select("batch_id", "input", "target"))
 
 
 def q32(spark, d):
@@ -259,12 +303,12 @@ def q32(spark, d):
 
 
 QUERIES: dict[str, Query] = {
-    "q01_mean_length": q01, "q02_doc_lengths": q02, "q03_byte_ids": q03, "q04_base_vocab": q04, "q05_pair_freq": q05, "q06_best_pair": q06, "q07_apply_merge": q07,
-    "q08_train_bounded": q08, "q09_vocab": q09, "q10_encode": q10, "q11_decode": q11, "q11_decode_ids": q11_ids, "q12_splits": q12, "q13_joined_corpus": q13,
-    "q14_train_joined": q14, "q15_train_fold": q15, "q15_train_resume": q15_resume, "q16_first_n": q16_first, "q16_row": q16_row, "q17_doc_batches": q17,
+    "q01_mean_length": q01, "q02_doc_lengths": q02, "q03_byte_ids": q03, "q03_byte_slices": q03_slices, "q04_base_vocab": q04, "q05_pair_freq": q05, "q06_best_pair": q06, "q07_apply_merge": q07,
+    "q08_train_bounded": q08, "q08_train_least_10": q08_often, "q09_vocab": q09, "q10_encode": q10, "q11_decode": q11, "q11_decode_ids": q11_ids, "q12_splits": q12, "q13_joined_corpus": q13,
+    "q14_train_joined": q14, "q15_train_fold": q15, "q15_train_fold_few": q15_few, "q15_train_resume": q15_resume, "q16_first_n": q16_first, "q16_row": q16_row, "q17_doc_batches": q17,
     "q18_windows_512_512": _windows(512, 512), "q18_windows_128_64": _windows(128, 64), "q18_windows_128_200": _windows(128, 200), "q18_window_counts": q18_count,
-    "q19_batches": q19, "q19_shuffled": q19_shuffled, "q20_budget_grid": q20, "q21_embed_lookup": q21, "q22_linear": q22, "q23_causal_attention": q23,
-    "q24_softmax": q24, "q25_layernorm": q25, "q26_ffn": q26, "q27_block": q27, "q28_cross_entropy": q28, "q29_epoch_loss": q29, "q30_greedy_step": q30,
+    "q19_batches": q19, "q19_shuffled": q19_shuffled, "q19_window_at": q19_window, "q20_budget_grid": q20, "q20_budget_report": q20_report, "q21_embed_lookup": q21, "q22_linear": q22, "q23_causal_attention": q23,
+    "q24_softmax": q24, "q25_layernorm": q25, "q26_ffn": q26, "q27_block": q27, "q27_two_blocks": q27_stack, "q28_cross_entropy": q28, "q29_epoch_loss": q29, "q30_greedy_step": q30,
     "q31_generate": q31, "q32_train_history": q32,
 }
 
@@ -288,15 +332,35 @@ def _pairs(source: str) -> str:
     return f"(SELECT doc_id, unnest(range(len(c) - 1)) AS pos, unnest(c[1:len(c) - 1]) AS a, unnest(c[2:len(c)]) AS b FROM (SELECT doc_id, string_split(s, '') AS c FROM {source} WHERE length(s) > 1))"
 
 
-def _training(start: str, k: int, tail: str) -> str:
+def _training(start: str, k: int, tail: str, least: int = LEAST) -> str:
     """k rounds of learning, each a pair of named subqueries; tail reads b0 .. b{k-1}."""
     parts = [f"s0 AS MATERIALIZED (SELECT * FROM {start})"]
     for i in range(k):
         parts.append(f"b{i} AS MATERIALIZED (SELECT a, b, count(*) AS n, min((doc_id, pos)) AS place FROM {_pairs(f's{i}')} GROUP BY a, b ORDER BY n DESC, place LIMIT 1)")
-        parts.append(f"s{i + 1} AS MATERIALIZED (SELECT doc_id, CASE WHEN n >= {LEAST} THEN replace(s, a || b, chr({256 + i})) ELSE s END AS s FROM s{i}, b{i})")
+        parts.append(f"s{i + 1} AS MATERIALIZED (SELECT doc_id, CASE WHEN n >= {least} THEN replace(s, a || b, chr({256 + i})) ELSE s END AS s FROM s{i}, b{i})")
     return f"WITH {', '.join(parts)} {tail}"
 
 
+def _fold_sql() -> str:
+    """The fold over the first documents: at most FOLD_RULES steps for each, of which a step without a frequent pair learns nothing."""
+    parts, steps = [], []
+    for k in range(FOLDED):
+        now = f"d{k}"
+        parts.append(f"{now} AS MATERIALIZED (SELECT * FROM {_DOCS} ORDER BY doc_id LIMIT 1 OFFSET {k})")
+        for t in list(steps):
+            parts.append(f"{now}_{t} AS MATERIALIZED (SELECT doc_id, CASE WHEN new THEN replace(s, a || b, chr(id)) ELSE s END AS s FROM {now if t == steps[0] else f'{now}_{steps[steps.index(t) - 1]}'}, {t})")
+        at = f"{now}_{steps[-1]}" if steps else now
+        for j in range(FOLD_RULES):
+            t, before = f"r{k}_{j}", f"(SELECT id + new::INT FROM {steps[-1]})" if steps else "256"
+            best = f"SELECT a, b, count(*) AS n, min(pos) AS place FROM {_pairs(at)} GROUP BY a, b ORDER BY n DESC, place LIMIT 1"
+            parts.append(f"{t} AS MATERIALIZED (SELECT coalesce(a, '') AS a, coalesce(b, '') AS b, coalesce(n, 0) AS n, {before}::INT AS id, coalesce(n, 0) >= {FOLD_LEAST} AND {before}::INT < {256 + FOLD_RULES} AS new FROM (SELECT 1) LEFT JOIN ({best}) ON true)")
+            steps.append(t)
+            parts.append(f"{now}_{t} AS MATERIALIZED (SELECT doc_id, CASE WHEN new THEN replace(s, a || b, chr(id)) ELSE s END AS s FROM {at}, {t})")
+            at = f"{now}_{t}"
+    rows = " UNION ALL ".join(f"SELECT (id - 256)::BIGINT AS rank, {_symbol('a')}::BIGINT AS l, {_symbol('b')}::BIGINT AS r, id::BIGINT AS new_id, n::BIGINT AS n FROM {t} WHERE new" for t in steps)
+    return f"WITH {', '.join(parts)} {rows}"
+
+
 _RANKS = " UNION ALL ".join(f"SELECT {i}::BIGINT AS rank, {_symbol('a')}::BIGINT AS l, {_symbol('b')}::BIGINT AS r, {256 + i}::BIGINT AS new_id, n::BIGINT AS n FROM b{i} WHERE n >= {LEAST}" for i in range(LEARNED))
 _JOINED = f"(SELECT 0 AS doc_id, string_agg(s, chr(10) || chr(10) ORDER BY doc_id) AS s FROM {_DOCS})"
 _BASE = "SELECT i::BIGINT AS token_id, lpad(hex(i), 2, '0') AS bytes_hex FROM range(256) t(i)"
@@ -325,8 +389,9 @@ def _window_sql(c: int, s: int) -> str:
 FROM (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - {c}, 0), {s})) AS start FROM (SELECT doc_id, {_HEX} AS h FROM documents))"""
 
 
-_WINDOWS = f"(SELECT row_number() OVER (ORDER BY doc_id, start) - 1 AS w FROM (SELECT doc_id, unnest(range(0, greatest(octet_length(encode(text)) - 512, 0), 512)) AS start FROM documents))"
-_BATCHES = f"SELECT (w // 32)::BIGINT AS batch_id, count(*) AS n FROM {_WINDOWS} GROUP BY 1"
+_NUMBERED = f"(SELECT row_number() OVER (ORDER BY doc_id, start) - 1 AS window_id, * FROM ({_window_sql(512, 512)}))"
+_BATCHES = "SELECT ({place} // 32)::BIGINT AS batch_id, window_id, doc_id, start, md5(x_hex) AS x_md5, md5(y_hex) AS y_md5 FROM {source}"
+_SHUFFLED = f"(SELECT *, row_number() OVER (ORDER BY md5('7:0:' || window_id), window_id) - 1 AS place FROM {_NUMBERED})"
 
 _X = "x AS (SELECT vec_id, label, unnest(range(len(embedding))) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings)"
 
@@ -343,20 +408,36 @@ def _norm(name: str, source: str) -> str:
     return f"{name} AS (SELECT vec_id, i, (v - avg(v) OVER p) / sqrt(var_pop(v) OVER p + 1e-5) AS v FROM {source} WINDOW p AS (PARTITION BY vec_id))"
 
 
-def _attention(source: str) -> list[str]:
+_QKV = [_w("wq", DIM, DIM, 0.3, 1), _w("wk", DIM, DIM, 0.3, 2), _w("wv", DIM, DIM, 0.3, 3)]
+
+
+def _attention(source: str, k: str = "") -> list[str]:
+    """Attention over a source, without the output projection; k sets the names of several apart."""
     size = DIM // HEADS
     return [
-        _w("wq", DIM, DIM, 0.3, 1), _w("wk", DIM, DIM, 0.3, 2), _w("wv", DIM, DIM, 0.3, 3),
-        _linear("q", source, "wq"), _linear("k", source, "wk"), _linear("vv", source, "wv"),
-        f"scores AS (SELECT q.vec_id AS a, k.vec_id AS b, q.i // {size} AS h, sum(q.v * k.v) / sqrt({size}) AS s FROM q JOIN k ON q.i = k.i AND q.vec_id // {CONTEXT} = k.vec_id // {CONTEXT} AND k.vec_id <= q.vec_id GROUP BY ALL)",
-        "probs AS (SELECT a, b, h, e / sum(e) OVER (PARTITION BY a, h) AS p FROM (SELECT a, b, h, exp(s - max(s) OVER (PARTITION BY a, h)) AS e FROM scores))",
-        f"att AS (SELECT a AS vec_id, i, sum(p * v) AS v FROM probs JOIN vv ON vv.vec_id = b AND i // {size} = h GROUP BY a, i)",
+        _linear(f"q{k}", source, "wq"), _linear(f"k{k}", source, "wk"), _linear(f"vv{k}", source, "wv"),
+        f"scores{k} AS (SELECT q.vec_id AS a, k.vec_id AS b, q.i // {size} AS h, sum(q.v * k.v) / sqrt({size}) AS s FROM q{k} q JOIN k{k} k ON q.i = k.i AND q.vec_id // {CONTEXT} = k.vec_id // {CONTEXT} AND k.vec_id <= q.vec_id GROUP BY ALL)",
+        f"probs{k} AS (SELECT a, b, h, e / sum(e) OVER (PARTITION BY a, h) AS p FROM (SELECT a, b, h, exp(s - max(s) OVER (PARTITION BY a, h)) AS e FROM scores{k}))",
+        f"att{k} AS (SELECT a AS vec_id, i, sum(p * v) AS v FROM probs{k} JOIN vv{k} vv ON vv.vec_id = b AND i // {size} = h GROUP BY a, i)",
     ]
 
 
 _FFN = [_w("w1", WIDE, DIM, 0.3, 5), _w("w2", DIM, WIDE, 0.3, 6)]
 
 
+_BLOCK_WEIGHTS = ", ".join([*_QKV, _w("wo", DIM, DIM, 0.3, 4), *_FFN])
+
+
+def _block(source: str, k: int) -> list[str]:
+    """A pre-norm block over a source, as y{k}."""
+    return [
+        _norm(f"n{k}", source), *_attention(f"n{k}", str(k)), _linear(f"ao{k}", f"att{k}", "wo"),
+        f"mid{k} AS (SELECT vec_id, i, x.v + a.v AS v FROM {source} x JOIN ao{k} a USING (vec_id, i))",
+        _norm(f"m{k}", f"mid{k}"), _linear(f"h{k}", f"m{k}", "w1"), f"r{k} AS (SELECT vec_id, i, greatest(v, 0) AS v FROM h{k})", _linear(f"f{k}", f"r{k}", "w2"),
+        f"y{k} AS (SELECT vec_id, i, a.v + b.v AS v FROM mid{k} a JOIN f{k} b USING (vec_id, i))",
+    ]
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ", ".join(parts) + " "
 
@@ -367,11 +448,15 @@ ORACLES: dict[str, str] = {
     "q01_mean_length": "SELECT round(avg(length(text)), 6) AS mean_length FROM documents",
     "q02_doc_lengths": "SELECT doc_id, length(text)::BIGINT AS n_chars, strlen(text)::BIGINT AS n_bytes FROM documents",
     "q03_byte_ids": f"SELECT doc_id, strlen(text)::BIGINT AS n_ids, {_HEX} AS ids_hex FROM documents",
+    "q03_byte_slices": """SELECT item_id, array_to_string(list_transform(regexp_extract_all(left(h, 20), '..'), lambda x: ('0x' || x)::INT::VARCHAR), ' ') AS first_ids,
+CASE WHEN len(left(h, 20)) = strlen(t) * 2 THEN t END AS first_text, (len(h) // 2)::BIGINT AS n_bytes
+FROM (SELECT item_id, hex(encode(text)) AS h, (SELECT max(p) FROM (SELECT left(text, unnest(range(11))) AS p) WHERE strlen(p) <= 10) AS t FROM benchmark)""",
     "q04_base_vocab": _BASE,
     "q05_pair_freq": f"SELECT {_symbol('a')}::BIGINT AS l, {_symbol('b')}::BIGINT AS r, count(*) AS n FROM {_pairs(_DOCS)} GROUP BY a, b",
     "q06_best_pair": f"SELECT {_symbol('a')}::BIGINT AS l, {_symbol('b')}::BIGINT AS r, n FROM (SELECT a, b, count(*) AS n, min((doc_id, pos)) AS place FROM {_pairs(_DOCS)} GROUP BY a, b ORDER BY n DESC, place LIMIT 1) WHERE n >= {LEAST}",
     "q07_apply_merge": f"SELECT doc_id, hex(encode(replace(s, 'e ', chr(256)))) AS seq_hex FROM {_DOCS}",
     "q08_train_bounded": _training(_DOCS, LEARNED, _RANKS),
+    "q08_train_least_10": _training(_DOCS, LEARNED, _RANKS.replace(f"n >= {LEAST}", f"n >= {OFTEN}"), OFTEN),
     "q09_vocab": _vocab_sql(),
     "q10_encode": f"SELECT doc_id, hex(encode(s)) AS seq_hex, length(s)::BIGINT AS n_tokens FROM {_encoded()}",
     "q11_decode": f"SELECT doc_id, {_HEX} AS text_hex FROM documents",
@@ -379,30 +464,34 @@ ORACLES: dict[str, str] = {
     "q12_splits": "SELECT CASE WHEN doc_id % 10 < 8 THEN 'train' WHEN doc_id % 10 = 8 THEN 'validation' ELSE 'test' END AS split, count(*) AS n FROM documents GROUP BY 1",
     "q13_joined_corpus": "SELECT length(t)::BIGINT AS n_chars, strlen(t)::BIGINT AS n_bytes, left(t, 100) AS head, right(t, 50) AS tail FROM (SELECT string_agg(text, chr(10) || chr(10) ORDER BY doc_id) AS t FROM (SELECT * FROM documents ORDER BY doc_id LIMIT 500))",
     "q14_train_joined": _training(_JOINED, LEARNED, _RANKS),
+    "q15_train_fold_few": _fold_sql(),
     "q15_train_resume": _training(_DOCS, LEARNED, _RANKS),
     "q16_first_n": f"SELECT doc_id, {_HEX} AS text_hex FROM (SELECT * FROM documents ORDER BY doc_id LIMIT 500)",
     "q16_row": f"SELECT doc_id, {_HEX} AS text_hex FROM (SELECT * FROM documents ORDER BY doc_id LIMIT 1 OFFSET 100)",
-    "q17_doc_batches": "SELECT ((row_number() OVER (ORDER BY doc_id) - 1) // 1000)::BIGINT AS batch_id FROM documents",
+    "q17_doc_batches": "SELECT ((row_number() OVER (ORDER BY doc_id) - 1) // 1000)::BIGINT AS batch_id, doc_id, md5(text) AS text_md5 FROM documents",
     "q18_windows_512_512": _window_sql(512, 512),
     "q18_windows_128_64": _window_sql(128, 64),
     "q18_windows_128_200": _window_sql(128, 200),
     "q18_window_counts": "SELECT doc_id, len(range(0, greatest(strlen(text) - 512, 0), 512))::BIGINT AS n FROM documents",
-    "q19_batches": _BATCHES,
-    "q19_shuffled": _BATCHES,
+    "q19_batches": _BATCHES.format(place="window_id", source=_NUMBERED),
+    "q19_shuffled": _BATCHES.format(place="place", source=_SHUFFLED),
+    "q19_window_at": f"SELECT window_id, doc_id, start, x_hex, y_hex FROM {_NUMBERED} WHERE window_id = 500",
     "q20_budget_grid": """SELECT device, gpus, hours, mfu, round(c / 1e6, 3) AS c, round(n / 1e6, 3) AS n, round(20 * n / 1e6, 3) AS d, round(20 * n / n, 6) AS ratio FROM (SELECT *, sqrt(c / 120) AS n FROM
 (SELECT device, gpus::BIGINT AS gpus, hours::BIGINT AS hours, mfu, gpus * (peak * mfu) * (hours * 3600) AS c FROM (VALUES ('h100', 989e12), ('a100', 312e12), ('l4', 121e12)) d(device, peak), (VALUES (1), (8)) g(gpus), (VALUES (1), (24)) h(hours), (VALUES (0.3::DOUBLE), (0.4::DOUBLE)) m(mfu)))""",
+    "q20_budget_report": """SELECT 'l4' AS device, round(c / 1e9, 3) AS check_6nd, 'Budget: 1 GPU x 1 h @ 30% MFU' || e || 'Compute C: ' || format('{:.3e}', c) || ' FLOPs' || e || 'Optimal N: ' || format('{:.1f}', n / 1e6) || ' M params' || e
+|| 'Optimal D: ' || format('{:.2f}', 20 * n / 1e9) || ' B tokens' || e || 'Sanity 6ND: ' || format('{:.3e}', 120 * n * n) || e || 'Ratio D/N: 20.0 tokens/param' AS report FROM (SELECT c, sqrt(c / 120) AS n, chr(10) AS e FROM (SELECT 121e12 * 0.3::DOUBLE * 3600 AS c))""",
     "q21_embed_lookup": _with(_X, "tok AS (SELECT b, unnest(range(len(h) // 2)) AS t, unnest(list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::INT)) AS token FROM (SELECT item_id AS b, hex(encode(text)) AS h FROM benchmark))") + f"SELECT b, t::BIGINT AS t, round(sum(y), 6) AS s1, round(sum(y * (i + 1)), 6) AS s2 FROM (SELECT b, t, i, v + ((t * 31 + i * 17) % 13 - 6) / 13.0::DOUBLE AS y FROM tok JOIN x ON x.vec_id = token) GROUP BY b, t",
     "q22_linear": _with(_X, _w("w", DIM, DIM, 1.0, 0), _linear("o", "x", "w")) + "SELECT vec_id, i::BIGINT AS i, round(v, 6) AS v FROM o",
-    "q23_causal_attention": _with(_X, *_attention("x")) + "SELECT vec_id, i::BIGINT AS i, round(v, 6) AS o FROM att",
+    "q23_causal_attention": _with(_X, *_QKV, *_attention("x")) + "SELECT vec_id, i::BIGINT AS i, round(v, 6) AS o FROM att",
     "q24_softmax": _with(_X) + "SELECT vec_id, i::BIGINT AS i, round(exp(v) / sum(exp(v)) OVER (PARTITION BY vec_id), 6) AS p FROM x",
     "q25_layernorm": _with(_X, _norm("n", "x")) + "SELECT vec_id, i::BIGINT AS i, round(v, 6) AS o FROM n",
     "q26_ffn": _with(_X, *_FFN, _linear("h", "x", "w1"), "r AS (SELECT vec_id, i, greatest(v, 0) AS v FROM h)", _linear("o", "r", "w2")) + "SELECT vec_id, i::BIGINT AS i, round(v, 6) AS o FROM o",
-    "q27_block": _with(_X, _norm("n1", "x"), *_attention("n1"), _w("wo", DIM, DIM, 0.3, 4), _linear("ao", "att", "wo"), "mid AS (SELECT vec_id, i, x.v + ao.v AS v FROM x JOIN ao USING (vec_id, i))", _norm("n2", "mid"), *_FFN, _linear("h", "n2", "w1"), "r AS (SELECT vec_id, i, greatest(v, 0) AS v FROM h)", _linear("f", "r", "w2")) + "SELECT vec_id, i::BIGINT AS i, round(mid.v + f.v, 6) AS o FROM mid JOIN f USING (vec_id, i)",
+    "q27_block": _with(_X, _BLOCK_WEIGHTS, *_block("x", 1)) + "SELECT vec_id, i::BIGINT AS i, round(v, 6) AS o FROM y1",
+    "q27_two_blocks": _with(_X, _BLOCK_WEIGHTS, *_block("x", 1), *_block("y1", 2)) + "SELECT vec_id, i::BIGINT AS i, round(v, 6) AS o FROM y2",
     "q28_cross_entropy": _LOSS.format(select="round(avg(loss), 6) AS loss"),
     "q29_epoch_loss": _LOSS.format(select="vec_id % 3 AS epoch, vec_id // 96 AS batch, avg(loss) AS loss") + " GROUP BY 1, 2",
     "q30_greedy_step": _with(_X) + "SELECT vec_id, min(i)::BIGINT AS token_id FROM (SELECT vec_id, i, v, max(v) OVER (PARTITION BY vec_id) AS m FROM x) WHERE v = m GROUP BY vec_id",
 }
-ORACLES["q17_doc_batches"] = f"SELECT batch_id, count(*) AS n_docs FROM ({ORACLES['q17_doc_batches']}) GROUP BY 1"
 ORACLES["q29_epoch_loss"] = f"SELECT epoch, round(avg(loss), 6) AS train_loss FROM ({ORACLES['q29_epoch_loss']}) GROUP BY 1"
 
 

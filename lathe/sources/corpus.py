@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from lathe.sources.staging import staged
+
 DOCUMENT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
 SPLITS = ("train", "validation", "test")
 
@@ -52,22 +54,27 @@ def first(df: DataFrame, n: int) -> DataFrame:
     return df.orderBy("doc_id").limit(n)
 
 
-def positions(df: DataFrame, key: str = "doc_id") -> DataFrame:
+def positions(df: DataFrame, key: str = "doc_id", weight: Column | None = None) -> DataFrame:
     """Append `position`, a row's place in key order (from 0), by ranges: no single-partition sort.
 
-    Rows are dealt out by ranges of the key; ranges are counted, and each row gets
-    the rows before its range plus its place inside. What is ordered in one task
-    is a row per range. Rows of equal key are ordered arbitrarily.
+    Rows are dealt out by ranges of the key and written once, with their range;
+    ranges are counted from that table, and each row gets the rows before its
+    range plus its place inside. What is ordered in one task is a row per range.
+    With a weight the position is the sum of the weights before. Null keys come
+    first; rows of equal key are ordered by a hash of their other columns.
     """
-    dealt = df.repartitionByRange(key).withColumn("__range", F.spark_partition_id())
-    sizes = dealt.groupBy("__range").agg(F.count("*").alias("__n"))
+    others = [f.name for f in df.schema.fields if f.name != key and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    tied = df.withColumn("__tie", F.xxhash64(*others) if others else F.lit(0).cast("long")).withColumn("__weight", F.lit(1) if weight is None else weight)
+    dealt = staged(tied.repartitionByRange(key, "__tie").withColumn("__range", F.spark_partition_id()))
+    sizes = dealt.groupBy("__range").agg(F.sum("__weight").alias("__n"))
     before = sizes.select("__range", (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before"))
-    placed = dealt.withColumn("__at", F.row_number().over(Window.partitionBy("__range").orderBy(key)) - 1)
-    return placed.join(before, "__range").withColumn("position", F.col("__before") + F.col("__at")).drop("__range", "__before", "__at")
+    inside = Window.partitionBy("__range").orderBy(key, "__tie").rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.withColumn("__at", F.coalesce(F.sum("__weight").over(inside), F.lit(0)))
+    return placed.join(before, "__range").withColumn("position", (F.col("__before") + F.col("__at")).cast("long")).drop("__range", "__before", "__at", "__tie", "__weight")
 
 
 def batches(df: DataFrame, size: int = 1000) -> DataFrame:
-    """Append `batch_id`: consecutive batches of a size in document order."""
+    """Append `batch_id`: consecutive batches of a size in document order, with all columns."""
     return positions(df).withColumn("batch_id", F.floor(F.col("position") / size).cast("long")).drop("position")
 
 

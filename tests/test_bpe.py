@@ -12,6 +12,7 @@ from lathe.functions import seq as S
 from lathe.operators import bpe
 from lathe.sources import corpus
 
+# Sample strings, and the rules that are learned from the second.
 X1 = "aaabbaababbaaabba"
 X2 = "aaabbaababbaaabbaşşIIİİaaİAİAİA"
 G2 = [(97, 97, 256), (196, 176, 257), (97, 98, 258), (258, 98, 259), (257, 65, 260), (256, 259, 261), (197, 159, 262), (260, 260, 263)]

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +40,31 @@ def test_batches(spark):
     assert sorted(r.window_id for r in one) == list(range(33)) and sorted(one) != sorted(two)
 
 
+def test_numbered_windows_of_packed_ids_carry_their_data(spark):
+    rows = [(7, b"abcdefgh"), (None, b"xyz"), (3, b""), (3, b"0123456"), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, ids binary").repartition(4)
+    got = {r.window_id: (r.doc_id, r.start, bytes(r.input), bytes(r.target)) for r in W.numbered(df, 3, 2).collect()}
+    want = [(i, a, s[a : a + 3], s[a + 1 : a + 4]) for i, s in sorted(((i, s or b"") for i, s in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1])) for a in range(0, len(s) - 3, 2)]
+    assert got == dict(enumerate(want))
+
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="needs the test tables")
+def test_no_row_is_lost_with_wide_columns(spark):
+    """Under adaptive execution, with text, with input and target: positions are 0 .. n - 1."""
+    docs = corpus.documents(spark, SF)
+    n = docs.count()
+    whole = lambda df, c: df.agg(F.count("*"), F.min(c), F.max(c), F.countDistinct(c)).first()
+    assert tuple(whole(corpus.positions(docs).filter("text is not null"), "position")) == (n, 0, n - 1, n)
+    packed = docs.select("doc_id", F.encode("text", "UTF-8").alias("ids"))
+    w = W.windows(packed, 512, 512)
+    k = w.count()
+    for df in (W.numbered(packed, 512, 512), W.batches(w), W.shuffled_batches(w, seed=3)):
+        assert tuple(whole(df.filter("octet_length(input) = 512 and octet_length(target) = 512"), "window_id")) == (k, 0, k - 1, k)
+
+
 def test_epoch_loss_weighs_batches_alike(spark):
     rows = [(0, b, float(b)) for b in [0] * 32 + [1]]
     assert W.epoch_losses(spark.createDataFrame(rows, "epoch int, batch_id int, loss double")).first().train_loss == 0.5
