@@ -6,67 +6,23 @@ bounded, documented summaries.
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The folder that holds the package; Python workers need it on their path.
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
+from lathe.sources.staging import session, shared_dir, staged
 
-def session(df: DataFrame) -> SparkSession:
-    """The session of a frame, with the package's folder on its Python workers' path."""
-    spark = df.sparkSession
-    env = spark.sparkContext.environment
-    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH", "")) if x)
-    return spark
+__all__ = ["lower_ascii", "session", "shared_dir", "spread_join", "staged", "table", "text_of"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Only where it is unset (tests, one machine) a temporary folder is made and
-    removed when the process ends.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = f"file://{tempfile.mkdtemp(prefix='lathe-')}"
-        spark.conf.set("spark.checkpoint.dir", path)
-        atexit.register(shutil.rmtree, path.removeprefix("file://"), ignore_errors=True)
-    return path
-
-
-def staged(df: DataFrame) -> DataFrame:
-    """Write a frame as Parquet to the shared folder and read it back.
-
-    It cuts the lineage and outlives any executor, and columns of it can be
-    read alone.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/lathe-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_of(name: str = "text") -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def partitions(df: DataFrame) -> int:
-    """How many partitions a range shuffle gets: what the session deals out by."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
 
 def lower_ascii(col: Column) -> Column:
     """A-Z lower-cased, all other letters as they are."""
