@@ -25,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The rules of the encoding queries ("e ", "th", "the", "the "), and learning in the training queries.
 RULES = ((101, 32, 256), (116, 104, 257), (257, 101, 258), (258, 32, 259))
 LEARNED, LEAST, OFTEN = 4, 2, 10
-FOLDED, FOLD_RULES, FOLD_LEAST = 3, 9, 40
+FOLDED, FOLD_RULES, FOLD_LEAST = 6, 7, 90
 DIM, HEADS, CONTEXT, WIDE = 64, 4, 16, 256
 
 
