@@ -23,7 +23,6 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-
 def lower_ascii(col: Column) -> Column:
     """A-Z lower-cased, all other letters as they are."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -30,12 +30,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lathe.llm.arrow import slices, texts
 from lathe.llm.common import session, table, text_of
 
 WORD = re.compile(r"[^\W_]+")
 N, BLOCK_WORDS, LEAST = 3, 1_000_000, 0.5
+_POSITIVE = np.int64((1 << 63) - 1)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -57,7 +59,8 @@ class Items:
         """The 3-grams of some words; -1 where one of them is in no item."""
         if w.size < N:
             return np.zeros(0, np.int64)
-        code = (w[:-2] * self.base + w[1:-1]) * self.base + w[2:]
+        # Beyond two million words codes wrap and may meet, which gives more hits to align and loses none.
+        code = ((w[:-2] * self.base + w[1:-1]) * self.base + w[2:]) & _POSITIVE
         return np.where((w[:-2] > 0) & (w[1:-1] > 0) & (w[2:] > 0), code, -1)
 
     def numbers(self, text: str) -> np.ndarray:
@@ -76,19 +79,33 @@ def _at(sorted_: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return where[real], place[real]
 
 
-def align(item: np.ndarray, window: np.ndarray) -> tuple[float, int]:
-    """Smith-Waterman: the best local score over the perfect score, and where in the window it ends."""
-    row = np.zeros(window.size + 1, np.int64)
+def _rows(item: np.ndarray, window: np.ndarray, local: bool) -> Iterator[np.ndarray]:
+    """The rows of an alignment, one for each word of the item; a local one may begin anywhere, any other at the beginning of both."""
     slope = np.arange(window.size + 1)
-    best, end = 0, 0
-    for w in item:
-        now = np.zeros_like(row)
+    row = np.zeros(window.size + 1, np.int64) if local else -slope
+    for k, w in enumerate(item):
+        now = np.full_like(row, 0 if local else -k - 1)
         now[1:] = np.maximum(row[:-1] + np.where(window == w, 2, -1), row[1:] - 1)
-        now = np.maximum(np.maximum.accumulate(now + slope) - slope, 0)  # gaps in the item: -1 for each step right
-        if (top := int(now.max())) > best:
-            best, end = top, int(now.argmax())
-        row = now
-    return best / (2 * item.size), end
+        now = np.maximum.accumulate(now + slope) - slope  # gaps in the item: -1 for each step right
+        row = np.maximum(now, 0) if local else now
+        yield row
+
+
+def align(item: np.ndarray, window: np.ndarray) -> tuple[float, int, int]:
+    """Smith-Waterman: the best local score over the perfect score, and where in the window it begins and ends.
+
+    Of several the one that ends first in the item, then in the window; where it
+    begins is found by aligning backwards from there, the shortest of equals.
+    """
+    best, until, end = 0, 0, 0
+    for k, row in enumerate(_rows(item, window, True), 1):
+        if (top := int(row.max())) > best:
+            best, until, end = top, k, int(row.argmax())
+    begin = end
+    if best:
+        back = (row == best for row in _rows(item[:until][::-1], window[:end][::-1], False))
+        begin = end - min(int(hit.argmax()) for hit in back if hit.any())
+    return best / (2 * item.size), begin, end
 
 
 def _words_in(item: np.ndarray, window: np.ndarray) -> int:
@@ -126,11 +143,12 @@ def _blocks(items: DataFrame, item_id: str, text: str) -> Iterator[Items]:
 
 
 def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", least: float = LEAST) -> DataFrame:
-    """Rows (doc_id, item_id, score, first_word, end_word): items that align with a document at `least` or more, each at its best place."""
+    """Rows (doc_id, item_id, score, first_word, end_word): items that align with a document at `least` or more, each at its best place (words first_word to end_word, the first of equals)."""
     spark = session(docs)
     kind = docs.schema[doc_id].dataType.simpleString()
     of_item = items.schema[item_id].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {of_item}, score double, first_word long, end_word long"
+    item_kind = to_arrow_type(items.schema[item_id].dataType)
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     found = None
     for block in _blocks(items, item_id, item_text):
@@ -152,10 +170,10 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
                     for k, at in hits.items():
                         item = block.words[k]
                         spans = [(a, b) for a, b in _windows(at, item.size, w.size) if _words_in(item, w[a:b]) >= least * item.size]
-                        score, end = max(((s, a + e) for a, b in spans for s, e in [align(item, w[a:b])]), default=(-1.0, 0))
+                        score, begin, end = max(((s, a + b, a + e) for a, z in spans for s, b, e in [align(item, w[a:z])]), key=lambda x: (x[0], -x[1]), default=(-1.0, 0, 0))
                         if score >= least:
-                            out.append((key, block.ids[k], score, max(0, end - item.size), end))
-                kinds = [batch.schema.field("doc_id").type, None, pa.float64(), pa.int64(), pa.int64()]
+                            out.append((key, block.ids[k], score, begin, end))
+                kinds = [batch.schema.field("doc_id").type, item_kind, pa.float64(), pa.int64(), pa.int64()]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["doc_id", "item_id", "score", "first_word", "end_word"])
 
