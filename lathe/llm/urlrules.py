@@ -5,33 +5,41 @@ slash and the path, so that all urls it fits on its own host lie in one interval
 of keys that begins at the rule. A url has a key for each suffix of its host
 (as many as it has labels), which is how a rule reaches subdomains.
 
-The rules of a host are swept once in key order with a stack of those still
-open; each keeps the stack at its start, that is itself and all rules it is
-nested in. Url keys are dealt out by ranges of (key, host), rules into the
-ranges they start in, and each range also gets the rule in force at its first
-key. In each range one sorted sweep carries the last rule passed: any rule whose
-interval holds a key is on that rule's stack. The longest that fits wins.
+Rules are dealt out in key order and swept in blocks of `BLOCK` with a stack of
+those still open; a block begins with the rules that are prefixes of its first
+key (as many as that key has characters at most), so no host's rules are
+gathered in one place. Each rule keeps the stack at its start, that is itself
+and all rules it is nested in.
+
+Rules and url keys are then dealt out together by ranges of their key, a rule
+before the urls of the same key. In each range one sorted sweep carries the last
+rule passed; a range begins with the last rule of those before it, one row a
+range. Any rule whose interval holds a key is on that rule's stack; the longest
+that fits wins.
 
 Only distinct (host, path) are swept, so a url in a third of all rows is one
-row; the verdicts are joined back to the pages. The only rows sorted in one task
-are the rules and one lower bound for each range.
+row; its verdict is sent to several tasks when it is joined back to the pages.
 
 Defined cases: a null url, or one without ://, has empty host and path; an
 unfitted url has rule null and the default verdict; equal rules are one, and
-block beats allow; repeated rows are judged alike; other columns are not read.
+block beats allow; repeated rows are judged alike; columns named host, path, rule
+or verdict are replaced, any other is kept.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lathe.llm.common import lower_ascii, staged, table
+from lathe.llm.common import lower_ascii, spread_join, staged, table
 
 # The rules of the query.
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 DEFAULT = "allow"
+#: Rules swept at once.
+BLOCK = 64
 
 
 def _rest(url: Column) -> Column:
@@ -54,49 +62,59 @@ def _key(labels: Column, path: Column) -> Column:
 
 
 def swept(rules: DataFrame) -> DataFrame:
-    """Rules (rule, verdict) as (key, stack); stack holds the open rules at the rule's start, itself last."""
+    """Rules (rule, verdict) as (key, stack); stack holds the open rules (key, rule, verdict) at the rule's start, itself last."""
     r = rules.select(F.col("rule"), "verdict", F.instr("rule", "/").alias("at"))
     r = r.select(lower_ascii(F.expr("substring(rule, 1, at - 1)")).alias("host"), F.expr("substring(rule, at, length(rule))").alias("path"), "rule", "verdict")
-    r = r.groupBy("host", "path").agg(F.max(F.struct("verdict", "rule")).alias("x")).select("host", F.struct("path", F.col("x.rule").alias("rule"), F.col("x.verdict").alias("verdict")).alias("r"))
-    by_host = r.groupBy("host").agg(F.sort_array(F.collect_list("r")).alias("rules"))
-    kind = r.schema["r"].dataType.simpleString()
-    begin = F.struct(F.array().cast(f"array<{kind}>").alias("open"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    r = r.groupBy("host", "path").agg(F.max(F.struct("verdict", "rule")).alias("x"))
+    r = r.select(_key(F.reverse(F.split("host", r"\.")), F.col("path")).alias("key"), F.col("x.rule").alias("rule"), F.col("x.verdict").alias("verdict"))
+    dealt = staged(r.repartitionByRange("key").withColumn("range", F.spark_partition_id()))
+    place = F.row_number().over(Window.partitionBy("range").orderBy("key"))
+    entry = F.struct("key", "rule", "verdict")
+    blocks = dealt.withColumn("block", F.floor((place - 1) / BLOCK)).groupBy("range", "block").agg(F.sort_array(F.collect_list(entry)).alias("rules"))
+
+    first = F.element_at("rules", 1)["key"]
+    lengths = F.sequence(F.instr(first, "/"), F.length(first) - 1)
+    prefixes = blocks.filter(F.length(first) > F.instr(first, "/")).select("range", "block", F.explode(F.transform(lengths, lambda n: F.substring(first, F.lit(1), n))).alias("key"))
+    open_ = prefixes.join(dealt.drop("range"), "key").groupBy("range", "block").agg(F.sort_array(F.collect_list(entry)).alias("open"))
+
+    kind = blocks.schema["rules"].dataType.simpleString()
+    begin = F.struct(F.coalesce("open", F.array().cast(kind)).alias("open"), F.array().cast(f"array<{kind}>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        still = F.concat(F.filter(acc["open"], lambda o: F.startswith(x["path"], o["path"])), F.array(x))
+        still = F.concat(F.filter(acc["open"], lambda o: F.startswith(x["key"], o["key"])), F.array(x))
         return F.struct(still.alias("open"), F.concat(acc["out"], F.array(still)).alias("out"))
 
-    stacks = by_host.select("host", F.explode(F.aggregate("rules", begin, step, lambda acc: acc["out"])).alias("stack"))
-    return stacks.select(_key(F.reverse(F.split("host", r"\.")), F.element_at("stack", -1)["path"]).alias("key"), "stack")
+    stacks = blocks.join(open_, ["range", "block"], "left").select(F.explode(F.aggregate("rules", begin, step, lambda acc: acc["out"])).alias("stack"))
+    return stacks.select(F.element_at("stack", -1)["key"].alias("key"), "stack")
 
 
 def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, url: str = "url") -> DataFrame:
     """Append host, path, rule and verdict to every row of pages."""
-    pages = pages.drop("host", "path", "rule", "verdict").withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-    distinct = pages.select("host", "path").distinct()
+    pages = pages.withColumn("__url", F.col(url)).drop("host", "path", "rule", "verdict").withColumns({"host": host_of(F.col("__url")), "path": path_of(F.col("__url"))}).drop("__url")
+    distinct = staged(pages.groupBy("host", "path").agg(F.count("*").alias("__n")))
     labels = F.reverse(F.split("host", r"\."))
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.slice(labels, 1, n))
     keys = distinct.withColumn("suffix", F.explode(suffixes)).select(_key(F.col("suffix"), F.col("path")).alias("key"), "host", "path")
-    dealt = staged(keys.repartitionByRange("key", "host").withColumn("range", F.spark_partition_id()))
 
     starts = swept(rules)
-    bounds = dealt.groupBy("range").agg(F.min("key").alias("key"))
-    # Rules come before bounds of the same key: a range whose first key is a rule's has it in force, and the rule itself goes to the range before.
-    line = starts.select("key", F.lit(0).alias("kind"), "stack", F.lit(None).cast("int").alias("range")).unionByName(bounds.select("key", F.lit(1).alias("kind"), F.lit(None).cast(starts.schema["stack"].dataType).alias("stack"), "range"))
-    so_far = Window.orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    in_force = line.select("key", F.last("stack", True).over(so_far).alias("stack"), F.last("range", True).over(so_far).alias("range")).filter("stack is not null and range is not null")
-
-    sweep = in_force.select("range", "key", F.lit(0).alias("kind"), "stack", F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path")).unionByName(dealt.select("range", "key", F.lit(1).alias("kind"), F.lit(None).cast(starts.schema["stack"].dataType).alias("stack"), "host", "path"))
-    running = Window.partitionBy("range").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    passed = sweep.select("kind", "key", "host", "path", F.last("stack", True).over(running).alias("stack")).filter("kind = 1 and stack is not null")
-    rule_key = lambda s: F.concat(F.substring_index("key", "/", 1), F.lit("/"), s["path"])
-    # A stack is of one host: it fits only keys that begin with that reversed host.
-    own_host = F.array_join(F.reverse(F.split(F.substring_index(F.element_at("stack", -1)["rule"], "/", 1), r"\.")), ".")
-    fits = F.filter("stack", lambda s: F.startswith(F.col("key"), rule_key(s)))
-    best = F.element_at(fits, -1)
-    found = passed.filter(lower_ascii(own_host) == F.substring_index("key", "/", 1)).filter(F.size(fits) > 0).select("host", "path", F.struct(F.length(best["rule"]).alias("n"), best["rule"].alias("rule"), best["verdict"].alias("verdict")).alias("best"))
-    verdicts = found.groupBy("host", "path").agg(F.max("best").alias("best")).select("host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
-    return pages.join(verdicts, ["host", "path"], "left").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    kind = starts.schema["stack"].dataType
+    none = lambda of: F.lit(None).cast(of)
+    both = starts.select("key", "stack", none("string").alias("host"), none("string").alias("path")).unionByName(keys.select("key", none(kind).alias("stack"), "host", "path"))
+    dealt = staged(both.repartitionByRange("key", "host").withColumn("range", F.spark_partition_id()))
+    lasts = dealt.groupBy("range").agg(F.max_by("stack", F.when(F.col("stack").isNotNull(), F.col("key"))).alias("stack"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    carried = lasts.select("range", none("string").alias("key"), F.last("stack", True).over(before).alias("stack"), none("string").alias("host"), none("string").alias("path"))
+    running = Window.partitionBy("range").orderBy("key", "host").rowsBetween(Window.unboundedPreceding, 0)
+    passed = dealt.select("range", "key", "stack", "host", "path").unionByName(carried).withColumn("stack", F.last("stack", True).over(running)).filter("host is not null and stack is not null")
+    # A key begins with its reversed host and a slash, so a rule of another host is never a prefix of it.
+    best = F.try_element_at(F.filter("stack", lambda s: F.startswith(F.col("key"), s["key"])), F.lit(-1))
+    found = passed.select("host", "path", best.alias("b")).filter("b is not null").select("host", "path", F.struct(F.length("b.rule").alias("n"), "b.rule", "b.verdict").alias("best"))
+    verdicts = found.groupBy("host", "path").agg(F.max("best").alias("best"))
+    every = distinct.join(verdicts, ["host", "path"], "left").select(F.xxhash64("host", "path").alias("__of"), F.col("host").alias("__host"), F.col("path").alias("__path"), "best.rule", F.coalesce("best.verdict", F.lit(default)).alias("verdict"), "__n")
+    rest = [c for c in pages.columns if c not in ("host", "path")]
+    row = [f.name for f in pages.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    joined = spread_join(pages.withColumn("__of", F.xxhash64("host", "path")), every, ["__of"], "__n", row)
+    return joined.filter((F.col("host") == F.col("__host")) & (F.col("path") == F.col("__path"))).select(*rest, "host", "path", "rule", "verdict")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 import random
 
+import pytest
 from oracle import same
 
+from lathe.llm import common
 from lathe.llm import urlrules as U
 
 
@@ -15,7 +17,10 @@ def test_query_like_sql(spark, tmp_path):
     same(U.query(spark, str(tmp_path)), U.ORACLE_SQL, str(tmp_path))
 
 
-def test_many_nested_rules_like_brute_force(spark):
+@pytest.mark.parametrize("block, hot", [(64, 1000), (3, 2)])
+def test_many_nested_rules_like_brute_force(spark, monkeypatch, block, hot):
+    monkeypatch.setattr(U, "BLOCK", block)
+    monkeypatch.setattr(common, "HOT_KEYS", hot)
     rng = random.Random(4)
     host = lambda: ".".join(rng.choice("ab") * rng.randrange(1, 3) for _ in range(rng.randrange(1, 4)))
     path = lambda: "/" + "".join(rng.choice("ab/") for _ in range(rng.randrange(0, 5)))
@@ -31,6 +36,15 @@ def test_many_nested_rules_like_brute_force(spark):
         assert (r.host, r.path, r.rule, r.verdict) == (h, p, want, verdict.get(want, "none"))
 
 
+def test_very_long_url_and_rule_and_clashing_names(spark):
+    long = "/a" * 1000
+    rules = spark.createDataFrame([(f"x{long}", "block"), ("x/", "allow")], "rule string, verdict string")
+    urls = ["http://x" + "/a" * 200_000, f"http://x{long[:-1]}", None]
+    df = spark.createDataFrame([(i, u, "h", "p", 1) for i, u in enumerate(urls)], "page_id int, url string, host string, path string, rule int")
+    got = {r.page_id: (r.rule, r.verdict) for r in U.judge(df, rules).collect()}
+    assert got == {0: (f"x{long}", "block"), 1: ("x/", "allow"), 2: (None, "allow")}
+
+
 def test_empty_table(spark):
     rules = spark.createDataFrame([("a/", "block")], "rule string, verdict string")
     assert U.judge(spark.createDataFrame([], "page_id long, url string"), rules).count() == 0
