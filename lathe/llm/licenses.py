@@ -1,15 +1,19 @@
 """Operator 5 [native]: licence notices by a positional rare-token index.
 
 Each notice is a template: a few words in order, of which a key phrase is
-mandatory. One scan finds the texts that hold a licence word at all and keeps
-their words (a staged table); from it the document frequency of every licence
+mandatory. The index has a posting (template, position) for every word of every
+key phrase. One scan splits all texts into words and keeps, in a staged table,
+which licence words each holds, and the words themselves only of those that hold
+all words of some key phrase. From it the document frequency of every licence
 word is counted over all documents (a row per word of the fixed template
-vocabulary, the only rows that reach the driver). A template is posted under the
-word of its key phrase with the highest IDF, so a file is looked up by its
-rarest licence words only. Each hit proposes places by relative position; the
-other template words at their places are counted, and the key phrase is
-verified word by word. A phrase always holds its own rarest word, so no place is
-missed, whatever the frequencies.
+vocabulary, the only rows that reach the driver).
+
+A file is then looked up by its highest-IDF licence words: of each template whose
+key phrase it can hold, the two rarest. Their places, less their postings'
+positions, are where the phrase would begin; only beginnings that both words
+propose are left, and there the key phrase is verified word by word and the other
+template words are counted for the score. A phrase always holds all of its words,
+so no place is missed, whatever the frequencies.
 
 All of it is column expressions over one row: no Python on the executors, no
 shuffle but the word counts.
@@ -40,10 +44,6 @@ TEMPLATES = [
     ("mpl", "subject to the terms of the mozilla public license", 6, 3, False),
     ("unlicense", "this is free and unencumbered software released into the public domain", 4, 2, False),
 ]
-# Words of key phrases that are too common in text to be looked up by.
-COMMON = "all and by domain copy free in is of or this to the mit use source".split()
-
-LETTER = r"0-9A-Za-z\x{80}-\x{10FFFF}"
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -51,7 +51,7 @@ def _key(t: tuple) -> list[str]:
     return t[1].split()[t[2] : t[2] + t[3]]
 
 
-VOCABULARY = sorted({w for t in TEMPLATES for w in _key(t)} - set(COMMON))
+VOCABULARY = sorted({w for t in TEMPLATES for w in t[1].split()})
 
 
 def _words(text: Column) -> Column:
@@ -66,37 +66,59 @@ def _templates() -> Column:
     return F.array(*(F.struct(F.lit(label).alias("label"), _strings(words.split()).alias("words"), F.lit(at).alias("at"), _strings(_key((label, words, at, n))).alias("key"), F.lit(base).alias("base")) for label, words, at, n, base in TEMPLATES))
 
 
-def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Append n_words, places (array of label, start, share, base), and what follows from them to every row's doc_id."""
-    short = [w for w in VOCABULARY if len(w) < 4]
-    licence_word = "(?i)" + "|".join([*(w for w in VOCABULARY if len(w) >= 4), *(f"(?<![{LETTER}]){w}(?![{LETTER}])" for w in short)])
-    t = text_of(text)
-    held = staged(df.select(F.col(doc_id).alias("doc_id"), F.regexp_count(t, F.lit(f"[{LETTER}]+")).cast("long").alias("n_words"), F.when(t.rlike(licence_word), _words(t)).alias("w")))
+def _postings() -> Column:
+    """The index: for each word of a key phrase, (template, position in the phrase) wherever it stands in one."""
+    found: dict[str, list[Column]] = {}
+    for k, t in enumerate(TEMPLATES):
+        for j, w in enumerate(_key(t)):
+            found.setdefault(w, []).append(F.struct(F.lit(k).alias("k"), F.lit(j).alias("at")))
+    return F.create_map(*(x for w, p in sorted(found.items()) for x in (F.lit(w), F.array(*p))))
+
 
-    counts = held.filter("w is not null").select(F.explode(F.array_intersect("w", _strings(VOCABULARY))).alias("word")).groupBy("word").count()
+def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (doc_id, n_words, places), places an array of label, start, share, base."""
+    keys = F.array(*(F.struct(F.lit(k).alias("k"), _strings(_key(t)).alias("key")) for k, t in enumerate(TEMPLATES)))
+    words = df.select(F.col(doc_id).alias("doc_id"), _words(text_of(text)).alias("w"))
+    present = words.select("doc_id", "w", F.array_intersect(_strings(VOCABULARY), "w").alias("present"))
+    possible = F.filter(keys, lambda t: F.size(F.array_except(t["key"], F.col("present"))) == 0)
+    judged = present.select("doc_id", F.size("w").cast("long").alias("n_words"), "w", "present", F.transform(possible, lambda t: t["k"]).alias("possible"))
+    held = staged(judged.withColumn("w", F.when(F.size("possible") > 0, F.col("w"))))
+
+    counts = held.select(F.explode("present").alias("word")).groupBy("word").count()
     seen = {r["word"]: r["count"] for r in counts.collect()}  # a row per word of the fixed vocabulary
-    rarest = [min((w for w in _key(t) if w not in COMMON), key=lambda w: (seen.get(w, 0), w)) for t in TEMPLATES]
-    postings = {w: [(k, t[2] + _key(t).index(w)) for k, t in enumerate(TEMPLATES) if rarest[k] == w] for w in sorted(set(rarest))}
-    index = F.create_map(*(x for w, p in postings.items() for x in (F.lit(w), F.array(*(F.struct(F.lit(k).alias("k"), F.lit(at).alias("at")) for k, at in p)))))
+    by_idf = _strings(sorted(VOCABULARY, key=lambda w: (seen.get(w, 0), w)))
 
-    w = F.col("w")
-    hits = F.filter(F.transform(w, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda h: h["x"].isin(*postings))
-    proposed = F.flatten(F.transform(hits, lambda h: F.transform(F.element_at(index, h["x"]), lambda p: F.struct(p["k"].alias("k"), (h["i"] - p["at"]).alias("start")))))
-    with_hits = held.withColumn("proposed", F.when(w.isNotNull(), F.array_distinct(proposed)))
+    w, key_of = F.col("w"), lambda k: F.element_at(_templates(), k + 1)["key"]
+    # The file's licence words, rarest first, and of each template it can hold the two rarest.
+    rare = held.withColumn("rare", F.array_intersect(by_idf, "present"))
+    two = lambda k: F.slice(F.array_intersect(F.col("rare"), key_of(k)), 1, 2)
+    looked = rare.withColumn("wanted", F.transform("possible", lambda k: F.struct(k.alias("k"), two(k).alias("two"))))
+    any_of = F.array_distinct(F.flatten(F.transform("wanted", lambda x: x["two"])))
+    hits = looked.withColumn("any", any_of).withColumn("hits", F.filter(F.transform(w, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda h: F.array_contains("any", h["x"])))
 
-    def place(p: Column) -> Column:
-        t = F.element_at(_templates(), p["k"] + 1)
-        n = F.size(t["words"])
-        same = F.size(F.filter(F.sequence(F.lit(0), n - 1), lambda j: F.coalesce(F.get(w, p["start"] + j) == F.get(t["words"], j), F.lit(False))))
-        return F.struct(t["label"].alias("label"), (p["start"] + t["at"]).cast("long").alias("start"), (same / n).alias("share"), t["base"].alias("base"))
+    def begins(k: Column, word: Column) -> Column:
+        """Where a template's key phrase would begin, by the places of one of its words."""
+        at = F.transform(F.filter(F.element_at(_postings(), word), lambda p: p["k"] == k), lambda p: p["at"])
+        return F.flatten(F.transform(F.filter("hits", lambda h: h["x"] == word), lambda h: F.transform(at, lambda j: h["i"] - j)))
+
+    def common(x: Column) -> Column:
+        both = F.array_intersect(begins(x["k"], F.element_at(x["two"], 1)), begins(x["k"], F.element_at(x["two"], -1)))
+        return F.transform(both, lambda s: F.struct(x["k"].alias("k"), s.alias("start")))
+
+    proposed = hits.withColumn("proposed", F.when(w.isNotNull(), F.flatten(F.transform("wanted", common))))
 
     def verified(p: Column) -> Column:
+        key = key_of(p["k"])
+        return (p["start"] >= 0) & (F.slice(w, F.greatest(p["start"], F.lit(0)) + 1, F.size(key)) == key)
+
+    def place(p: Column) -> Column:
         t = F.element_at(_templates(), p["k"] + 1)
-        at = p["start"] + t["at"]
-        return (at >= 0) & (F.slice(w, F.greatest(at, F.lit(0)) + 1, F.size(t["key"])) == t["key"])
+        n = F.size(t["words"])
+        same = F.size(F.filter(F.sequence(F.lit(0), n - 1), lambda j: F.coalesce(F.get(w, p["start"] - t["at"] + j) == F.get(t["words"], j), F.lit(False))))
+        return F.struct(t["label"].alias("label"), p["start"].cast("long").alias("start"), (same / n).alias("share"), t["base"].alias("base"))
 
     none = F.array().cast("array<struct<label:string,start:bigint,share:double,base:boolean>>")
-    return with_hits.select("doc_id", "n_words", F.coalesce(F.transform(F.filter("proposed", verified), place), none).alias("places"))
+    return proposed.select("doc_id", "n_words", F.coalesce(F.transform(F.filter("proposed", verified), place), none).alias("places"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

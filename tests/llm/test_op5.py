@@ -8,7 +8,8 @@ TEXTS = [
     "Licensed under CC BY-NC 4.0.", "cc by cc by CC\nBY", "x cc by", "ccby cc bye", "accc by", None, "", "All rights reserved. all RIGHTS\treserved", "All rıghts reserved",
     "This work is licensed under the GNU General Public License, version 3.", "Released under the MIT License.", "license mit", "mit dem license", "É CC BY é", "K general public license",
     "Licensed under the Apache License, Version 2.0.", "Redistribution and use in source and binary forms, with or without", "gnu lesser general public license",
-    "filler words " * 3000 + "all rights reserved", "permission is hereby granted, free of charge", "by cc", "...", "all rights reserved", "all rights reserved",
+    "redistribution and use in source and binary forms redistribution and use in source and binary", "and and redistribution and use in source and binary forms", "reserved rights all reserved all rights", "cc x by cc by by cc",
+    "gnu general public license " * 40 + "all rights all rights reserved", "filler words " * 3000 + "all rights reserved", "permission is hereby granted, free of charge", "by cc", "...", "all rights reserved", "all rights reserved",
 ]
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
