@@ -1,24 +1,29 @@
 """Operator 3: fixity audit of WARC replicas by Merkle trees.
 
 A manifest has a row for each distinct record: key, length, SHA-256, how often.
-The first level of the tree are ranges of `SPAN` consecutive keys. A range's hash
-covers its number of records, its bytes and the sum of its records' hashes
-(each binds key, length and digest), so a range is aggregated before it is
-shuffled and a key that holds a third of all records is no burden. Every further
-level hashes `FANOUT` ranges in order, up to one root. Since a node also has its
-bytes, the offset at which a range begins in the archive follows from its
-parent's and its earlier siblings'.
+In order of (key, digest, length) they make up the archive, and each has its
+offset: rows are dealt out by ranges, so the offset is the bytes of the ranges
+before it, one row a range, and of the rows before it in its own; a key that
+holds a third of all records is several ranges.
+
+The tree's leaves are the records. Its nodes are consecutive ordered ranges that
+begin at records chosen by their hash, one of `FANOUT` for the first level, one of
+those for the next, and so on; a record that is lost or added therefore changes
+the ranges around it and leaves all others as they are, though their offsets
+move. A node's hash is the SHA-256 of its children's hashes in order, each with
+the offset at which it begins in the node, so order and place are bound; a node
+has `FANOUT` children on average.
 
 Two replicas are compared from the roots down: only children of nodes that
 differ are looked at, and in the end only records of the ranges that differ. The
-number of levels is the logarithm of the span of keys; only the least and the
-greatest key and the two roots reach the driver.
-
-Defined cases: equal records of one key count as often as they are; several
-different ones of a key are ordered by digest, and a key's mismatch shows the
-least unmatched digest of either side; a null key is a range of its own, the
-first; a null record is empty; equal or empty replicas give no rows; columns that
-clash are not read.
+number of levels is the logarithm of the number of records; only that number and
+the two roots reach the driver.
+
+Defined cases: equal records of one key count as often as they are, one behind
+the other; unmatched records of a key are paired by order of (digest, length), a
+row for each, and what is left over is missing or extra; null keys come first; a
+null record is empty; equal or empty replicas give no rows; columns that clash
+are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ from pyspark.sql.window import Window
 
 from lathe.llm.common import staged, table, text_of
 
-SPAN, FANOUT = 64, 64
+FANOUT = 64
 
 
 def warc_record(key: Column, url: Column, payload: Column, declared: Column | None = None) -> Column:
@@ -47,84 +52,93 @@ def manifest(records: DataFrame, key: str = "key", record: str = "record") -> Da
     return staged(rows.groupBy("key", "length", "digest").agg(F.count("*").alias("n")))
 
 
-def _range(key: Column) -> Column:
-    return F.floor(key / F.lit(SPAN)).cast("long")
+ORDER = ["key", "digest", "length"]
+SCHEMA = "key long, status string, offset long, found_offset long, expected_length long, found_length long, expected_digest string, found_digest string, expected_copies long, found_copies long"
 
 
-def _first_level(m: DataFrame) -> DataFrame:
-    bound = F.sha2(F.concat_ws(":", F.coalesce(F.col("key").cast("string"), F.lit("null")), "length", "digest").cast("binary"), 256)
-    lane = lambda k: F.sum(F.conv(F.substring(bound, 16 * k + 1, 15), 16, 10).cast("decimal(20,0)") * F.col("n")).cast("string")
-    lanes = [lane(k).alias(f"s{k}") for k in range(4)]
-    nodes = m.groupBy(_range(F.col("key")).alias("id")).agg(F.sum("n").alias("records"), F.sum(F.col("length") * F.col("n")).alias("bytes"), *lanes)
-    return nodes.select("id", "records", "bytes", F.sha2(F.concat_ws(":", "records", "bytes", "s0", "s1", "s2", "s3").cast("binary"), 256).alias("hash"))
+def _placed(m: DataFrame, levels: int) -> DataFrame:
+    """The records with their offsets and, as n1, n2, ..., the first record of their node at each level."""
+    name = F.concat_ws(":", F.coalesce(F.col("key").cast("string"), F.lit("null")), "digest", "length")
+    dealt = m.select(*ORDER, "n", (F.col("length") * F.col("n")).alias("bytes"), name.alias("name"))
+    dealt = staged(dealt.repartitionByRange(*ORDER).withColumn("part", F.spark_partition_id()))
+    chosen = F.xxhash64("name")
+    opens = [F.when(F.pmod(chosen, F.lit(FANOUT**k)) == 0, F.col("name")) for k in range(1, levels + 1)]
+    upto = Window.partitionBy("part").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    inside = dealt.select("*", (F.sum("bytes").over(upto) - F.col("bytes")).alias("at"), *(F.last(x, True).over(upto).alias(f"n{k}") for k, x in enumerate(opens, 1)))
+    inside = staged(inside)
+    names = [f"n{k}" for k in range(1, levels + 1)]
+    parts = inside.groupBy("part").agg(F.sum("bytes").alias("all"), *(F.max_by(x, F.struct("at", *ORDER)).alias(x) for x in names))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    before = parts.select("part", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("before"), *(F.last(x, True).over(earlier).alias(f"{x}_before") for x in names))
+    joined = inside.join(before, "part")
+    hashed = F.sha2(F.concat_ws(":", "name", "n").cast("binary"), 256)
+    return joined.select(*ORDER, "n", "bytes", (F.col("before") + F.col("at")).cast("long").alias("offset"), hashed.alias("hash"), *(F.coalesce(x, f"{x}_before", F.lit("")).alias(x) for x in names))
 
 
-def _next_level(nodes: DataFrame) -> DataFrame:
-    """Parents of at most FANOUT children each."""
-    inorder = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "hash"))), lambda x: F.concat(F.coalesce(x["id"].cast("string"), F.lit("null")), F.lit("="), x["hash"])), ";")
-    return nodes.groupBy(F.floor(F.col("id") / FANOUT).cast("long").alias("id")).agg(F.sum("records").alias("records"), F.sum("bytes").alias("bytes"), F.sha2(inorder.cast("binary"), 256).alias("hash"))
+def _nodes(children: DataFrame, k: int, levels: int) -> DataFrame:
+    """The nodes of level k: id, hash, offset, bytes, records, and the names of the nodes above."""
+    above = [f"n{j}" for j in range(k + 1, levels + 1)]
+    inorder = F.sort_array(F.collect_list(F.struct("offset", "hash")))
+    nodes = children.groupBy(F.col(f"n{k}").alias("id")).agg(inorder.alias("of"), F.min("offset").alias("offset"), F.sum("bytes").alias("bytes"), F.sum("n").alias("n"), *(F.any_value(x).alias(x) for x in above))
+    content = F.array_join(F.transform("of", lambda x: F.concat((x["offset"] - F.col("offset")).cast("string"), F.lit("="), x["hash"])), ";")
+    return nodes.select("id", F.sha2(F.concat_ws("|", content, "bytes").cast("binary"), 256).alias("hash"), "offset", "bytes", "n", *above)
 
 
 def tree(m: DataFrame, levels: int) -> list[DataFrame]:
-    """The levels of a manifest's tree, from the ranges up."""
-    out = [staged(_first_level(m))]
-    for _ in range(levels - 1):
-        out.append(staged(_next_level(out[-1])))
+    """The levels of a manifest's tree: its records in their places, then the nodes of each level."""
+    out = [staged(_placed(m, levels))]
+    for k in range(1, levels + 1):
+        out.append(staged(_nodes(out[-1], k, levels).withColumn(f"n{k}", F.col("id"))))
     return out
 
 
 def root(level: DataFrame) -> tuple[str, int, int] | None:
     """Hash, records and bytes of a whole tree, from its top level of a few nodes."""
-    inorder = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "hash"))), lambda x: x["hash"]), ";")
-    r = level.agg(F.sha2(inorder.cast("binary"), 256).alias("hash"), F.sum("records").alias("records"), F.sum("bytes").alias("bytes")).first()
+    inorder = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("offset", "hash"))), lambda x: F.concat(x["offset"].cast("string"), F.lit("="), x["hash"])), ";")
+    r = level.agg(F.sha2(inorder.cast("binary"), 256).alias("hash"), F.sum("n").alias("records"), F.sum("bytes").alias("bytes")).first()
     return None if r["records"] is None else (r["hash"], r["records"], r["bytes"])
 
 
 def _levels(*manifests: DataFrame) -> int:
-    """Levels until at most two nodes and the one of null keys are left."""
-    ends = [m.agg(F.min("key"), F.max("key")).first() for m in manifests]
-    ids = [x // SPAN for r in ends for x in r if x is not None]
-    low, high, n = min(ids, default=0), max(ids, default=0), 1
-    while high - low > 1:
-        low, high, n = low // FANOUT, high // FANOUT, n + 1
+    """Levels until about FANOUT nodes are left at the top."""
+    rows, n = max(m.count() for m in manifests) // FANOUT, 1
+    while rows > FANOUT:
+        rows, n = rows // FANOUT, n + 1
     return n
 
 
+def _differing(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The ids of nodes that only one side has, or that differ."""
+    other = b.select(F.col("id").alias("id_b"), F.col("hash").alias("hash_b"))
+    both = a.select("id", "hash").join(other, F.col("id") == F.col("id_b"), "full")
+    return staged(both.filter(~F.col("hash").eqNullSafe(F.col("hash_b"))).select(F.coalesce("id", "id_b").alias("bad")))
+
+
 def audit(expected: DataFrame, found: DataFrame) -> DataFrame:
-    """Records in which two manifests differ: key, status (corrupt, missing, extra), offset and lengths and digests of both."""
+    """Records in which two manifests differ: key, status (corrupt, missing, extra), and of both sides offset, length, digest and how many copies the other lacks."""
     n = _levels(expected, found)
     a, b = tree(expected, n), tree(found, n)
-    schema = "key long, status string, offset long, expected_length long, found_length long, expected_digest string, found_digest string"
     if root(a[-1]) == root(b[-1]):
-        return expected.sparkSession.createDataFrame([], schema)
-    parents = None
-    for level in range(n - 1, -1, -1):
-        x, y = a[level], b[level].select(F.col("id").alias("id_b"), F.col("hash").alias("hash_b"))
-        if parents is not None:
-            x = x.join(parents, F.floor(x["id"] / FANOUT).eqNullSafe(parents["parent"])).drop("parent")
-            up = parents.select("parent")
-            y = y.join(up, F.floor(y["id_b"] / FANOUT).eqNullSafe(up["parent"]), "left_semi")
-        else:
-            x = x.withColumn("parent_start", F.lit(0).cast("long"))
-        before = Window.partitionBy("parent_start").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)  # FANOUT rows
-        x = x.withColumn("start", F.col("parent_start") + F.coalesce(F.sum("bytes").over(before), F.lit(0)))
-        differ = x.join(y, F.col("id").eqNullSafe(F.col("id_b")) & F.col("start").isNotNull(), "full").filter(~F.col("hash").eqNullSafe(F.col("hash_b")))
-        nodes = staged(differ.select(F.when(F.col("hash").isNull(), F.col("id_b")).otherwise(F.col("id")).alias("id"), "start"))
-        parents = nodes.select(F.col("id").alias("parent"), F.col("start").alias("parent_start"))
-    ranges = nodes.select("id", "start")
-    inside = Window.partitionBy("id").orderBy("key", "digest", "length").rowsBetween(Window.unboundedPreceding, -1)
-
-    def of(m: DataFrame) -> DataFrame:
-        return m.join(ranges, _range(m["key"]).eqNullSafe(ranges["id"]))
-
-    mine = of(expected).withColumn("offset", F.col("start") + F.coalesce(F.sum(F.col("length") * F.col("n")).over(inside), F.lit(0)))
-    sides = mine.select("key", "length", "digest", "n", F.lit(0).alias("m"), "offset").unionByName(of(found).select("key", "length", "digest", F.lit(0).alias("n"), F.col("n").alias("m"), F.lit(None).cast("long").alias("offset")))
-    unmatched = sides.groupBy("key", "length", "digest").agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.min("offset").alias("offset")).filter("n <> m")
-    missing, extra = F.col("n") > F.col("m"), F.col("n") < F.col("m")
-    row = lambda where: F.min(F.when(where, F.struct("digest", "length", "offset")))
-    keys = unmatched.groupBy("key").agg(row(missing).alias("e"), row(extra).alias("f"))
+        return expected.sparkSession.createDataFrame([], SCHEMA)
+    bad = _differing(a[n], b[n])
+    for k in range(n - 1, 0, -1):
+        below = [x[k].join(bad, F.col(f"n{k + 1}") == F.col("bad"), "left_semi") for x in (a, b)]
+        bad = _differing(*below)
+
+    def of(records: DataFrame, mine: str, other: str) -> DataFrame:
+        return records.join(bad, F.col("n1") == F.col("bad"), "left_semi").select(*ORDER, F.col("n").alias(mine), F.lit(0).cast("long").alias(other), *(F.when(F.lit(x == mine), F.col("offset")).alias(f"at_{x}") for x in ("e", "f")))
+
+    sides = of(a[0], "e", "f").unionByName(of(b[0], "f", "e"))
+    unmatched = sides.groupBy(*ORDER).agg(*(F.sum(x).alias(x) for x in ("e", "f")), *(F.min(f"at_{x}").alias(f"at_{x}") for x in ("e", "f"))).filter("e <> f")
+    lacking = F.col("e") > F.col("f")
+    place = F.row_number().over(Window.partitionBy("key", lacking).orderBy("digest", "length"))
+    ranked = unmatched.withColumn("place", place)
+    row = lambda where, at, copies: F.max(F.when(where, F.struct("digest", "length", F.col(at).alias("offset"), (copies).alias("copies"))))
+    pairs = ranked.groupBy("key", "place").agg(row(lacking, "at_e", F.col("e") - F.col("f")).alias("e"), row(~lacking, "at_f", F.col("f") - F.col("e")).alias("f"))
     status = F.when(F.col("e").isNull(), "extra").when(F.col("f").isNull(), "missing").otherwise("corrupt")
-    return keys.select("key", status.alias("status"), F.col("e.offset").alias("offset"), F.col("e.length").alias("expected_length"), F.col("f.length").alias("found_length"), F.col("e.digest").alias("expected_digest"), F.col("f.digest").alias("found_digest"))
+    sided = [F.col(f"{s}.{x}").alias(f"{n}{x}") for x in ("length", "digest") for s, n in (("e", "expected_"), ("f", "found_"))]
+    copies = [F.coalesce(f"{s}.copies", F.lit(0)).cast("long").alias(f"{n}copies") for s, n in (("e", "expected_"), ("f", "found_"))]
+    return pairs.select("key", status.alias("status"), F.col("e.offset").alias("offset"), F.col("f.offset").alias("found_offset"), *sided, *copies)
 
 
 # The damage of the query's second replica, as (divisor, remainder, kind) of page_id.
@@ -149,8 +163,8 @@ WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
   CASE WHEN {_SQL_HIT["flipped"]} THEN 'flipped' WHEN {_SQL_HIT["cut"]} THEN 'cut' WHEN {_SQL_HIT["lost"]} THEN 'lost' END AS damage FROM pages),
 r AS (SELECT page_id, damage, {_SQL_RECORD.format("html")} AS a,
   CASE WHEN damage <> 'lost' THEN {_SQL_RECORD.format("CASE damage WHEN 'flipped' THEN 'X' || substr(html, 2) WHEN 'cut' THEN left(html, length(html) // 2) END")} END AS b FROM p),
-o AS (SELECT *, sum(strlen(a)) OVER (ORDER BY page_id) - strlen(a) AS before FROM r)
-SELECT page_id AS key, CASE damage WHEN 'lost' THEN 'missing' ELSE 'corrupt' END AS status, before::BIGINT AS "offset", strlen(a)::BIGINT AS expected_length,
-  strlen(b)::BIGINT AS found_length, sha256(a) AS expected_digest, sha256(b) AS found_digest
+o AS (SELECT *, sum(strlen(a)) OVER (ORDER BY page_id) - strlen(a) AS before, sum(coalesce(strlen(b), 0)) OVER (ORDER BY page_id) - strlen(b) AS before_b FROM (SELECT page_id, damage, a, CASE WHEN damage IS NULL THEN a ELSE b END AS b FROM r))
+SELECT page_id AS key, CASE damage WHEN 'lost' THEN 'missing' ELSE 'corrupt' END AS status, before::BIGINT AS "offset", before_b::BIGINT AS found_offset, strlen(a)::BIGINT AS expected_length,
+  strlen(b)::BIGINT AS found_length, sha256(a) AS expected_digest, sha256(b) AS found_digest, 1::BIGINT AS expected_copies, (b IS NOT NULL)::BIGINT AS found_copies
 FROM o WHERE damage IS NOT NULL AND b IS DISTINCT FROM a
 """

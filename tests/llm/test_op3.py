@@ -1,6 +1,8 @@
 import hashlib
 import random
+from collections import Counter
 
+import pytest
 from oracle import same
 
 from lathe.llm import warcaudit as W
@@ -36,6 +38,44 @@ def test_like_plain_comparison(spark):
     assert got[5].status == "extra" and got[5].found_length == 4
 
 
+@pytest.mark.parametrize("fanout", [64, 4])
+def test_every_unmatched_record_has_a_row_whatever_the_key(spark, monkeypatch, fanout):
+    """A key with most of the records; records lost, changed and added under it; the ranges that differ are few."""
+    monkeypatch.setattr(W, "FANOUT", fanout)
+    rng = random.Random(6)
+    a = [(7 if i % 3 else i, f"record {i} {'x' * rng.randrange(9)}") for i in range(3000)] + [(8, "copy")] * 9
+    rng.shuffle(a)
+    gone = set(rng.sample([r for r in a if r[0] == 7], 5))
+    b = [r for r in a if r not in gone][1:] + [(7, "new one"), (7, "new two"), (8, "copy")]
+    dropped = [r for r in a if r not in gone][0]
+    got = [r.asDict() for r in W.audit(frame(spark, [(*r, "x") for r in a]), frame(spark, [(*r, "x") for r in b])).collect()]
+    digest = lambda r: hashlib.sha256(r[1].encode()).hexdigest()
+    lost = sorted((r["key"], r["expected_digest"], r["expected_copies"]) for r in got if r["expected_digest"])
+    more = sorted((r["key"], r["found_digest"], r["found_copies"]) for r in got if r["found_digest"])
+    want = Counter(a)
+    want.subtract(b)
+    assert lost == sorted((k[0], digest(k), n) for k, n in want.items() if n > 0) and dropped in want
+    assert more == sorted((k[0], digest(k), -n) for k, n in want.items() if n < 0)
+    order = lambda rows: sorted(rows, key=lambda r: (r[0], digest(r), len(r[1])))
+    for side, rows in (("", a), ("found_", b)):
+        at, places = 0, {}
+        for r in order(rows):
+            places.setdefault((r[0], digest(r)), at)
+            at += len(r[1])
+        for r in got:
+            d = r[f"{side or 'expected_'}digest"]
+            assert d is None or r[f"{side}offset"] == places[r["key"], d]
+
+
+def test_descent_reads_few_ranges_after_a_loss(spark, monkeypatch):
+    monkeypatch.setattr(W, "FANOUT", 8)
+    rows = [(i, f"r{i}", "x") for i in range(4000)]
+    a, b = (W.tree(frame(spark, x), 3) for x in (rows, rows[1:2000] + rows[2001:]))
+    assert W.root(a[-1]) != W.root(b[-1])
+    for k, most in ((1, 6), (2, 6)):
+        assert 1 <= W._differing(a[k], b[k]).count() <= most
+
+
 def test_repeats_nulls_and_empty(spark):
     a = [(1, "r", "x")] * 50 + [(1, "s", "x"), (None, "n", "x"), (2, None, "x")]
     m = frame(spark, a)
