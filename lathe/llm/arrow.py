@@ -50,12 +50,12 @@ def gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarra
 class ChunkTable(dict):
     """Distinct chunks by number, with the ids of each; a new chunk is segmented once.
 
-    `segment` turns a list of chunks into as many lists of ids. Over
+    `segment` turns a list of chunks into all their ids and the number of each. Over
     `most` chunks the table keeps only those used most, half of them at
     most, so it never outgrows a worker.
     """
 
-    def __init__(self, segment: Callable[[list[str]], list[list[int]]], most: int):
+    def __init__(self, segment: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int):
         super().__init__()
         self.segment, self.most = segment, most
         self.new: list[str] = []
@@ -88,9 +88,7 @@ class ChunkTable(dict):
     def _segment_new(self) -> None:
         if not self.new:
             return
-        ids = self.segment(self.new)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        more = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        more, sizes = self.segment(self.new)
         first = len(self) - len(self.new)
         while self.start.size < len(self):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])

@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,10 +57,12 @@ class _Model:
         self.bytes = np.frombuffer(b"".join(surface), np.uint8)
         self.table = ChunkTable(self.segment, CHUNKS)
 
-    def segment(self, chunks: list[str]) -> list[list[int]]:
+    def segment(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """A chunk is a word after a marker, or a line end and what follows it (then the library's own marker goes)."""
         ids = self.sp.encode(chunks, num_threads=1)
-        return [x[1:] if c[:1] == "\n" else x if c else [self.space] for c, x in zip(chunks, ids)]
+        own = [x[1:] if c[:1] == "\n" else x if c else [self.space] for c, x in zip(chunks, ids)]
+        sizes = np.fromiter(map(len, own), np.int64, len(own))
+        return np.fromiter(chain.from_iterable(own), np.uint32, int(sizes.sum())), sizes
 
     def chunks(self, text: str) -> list[str]:
         if not text:
