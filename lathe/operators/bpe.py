@@ -2,9 +2,11 @@
 
 Learning works on a table of segments, packed arrays of token ids. A round
 applies the rules learned since the table was last written, counts adjacent
-pairs in each task with numpy, and sums the counts in Spark; one row, the best
-pair, reaches the driver. Every `REWRITE` rounds the segments are written anew,
-so neither the plan nor the work of a round grows with the number of rules.
+pairs in each task with numpy, and sums the counts in Spark; the best pairs, a
+bounded few, reach the driver; in bounded mode a job may find several
+rules at once (see `_Learner.best`). Every `REWRITE` rounds the segments are
+written anew, so neither the plan nor the work of a round grows with the number
+of rules.
 
 Three modes, which learn different vocabularies:
 
@@ -22,23 +24,26 @@ sequences. A second scan for that is made only when there is a tie.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lathe.functions import seq as S
 from lathe.sources.staging import session, staged
 
 BASE = 256
-#: Rounds between two writings of the segments, and bytes of a joined segment.
-REWRITE, SEGMENT_BYTES = 16, 32 << 20
-#: Best pairs looked at for ties in the first place.
-TIES = 64
+#: Rounds between two writings of the segments, and ids of a joined segment.
+REWRITE, SEGMENT_IDS = 16, 32 << 20
+#: Best pairs looked at for ties in the first place, and rules guessed ahead in bounded mode.
+TIES, AHEAD = 64, 4
 #: Up to this vocabulary pairs are counted in a dense table.
 DENSE = 2048
 
@@ -98,8 +103,20 @@ def pairs(df: DataFrame, ids: str = "ids") -> DataFrame:
 
 
 def pair_counts(df: DataFrame, ids: str = "ids") -> DataFrame:
-    """(l, r, n): how often each pair occurs; counted where the rows are, then summed."""
-    return pairs(df, ids).groupBy("l", "r").agg(F.count("*").alias("n"))
+    """(l, r, n): how often each pair occurs; counted with numpy in each batch, then summed. A null array has no pairs."""
+    session(df)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(0)
+            flat, sizes = own.flatten().to_numpy().astype(np.int64), pc.fill_null(pc.list_value_length(own), 0).to_numpy()
+            inside = np.ones(max(flat.size - 1, 0), bool)
+            last = np.cumsum(sizes)[sizes > 0] - 1
+            inside[last[last < inside.size]] = False
+            code, n = np.unique((flat[:-1] << 32 | flat[1:])[inside], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array((code >> 32).astype(np.int32)), pa.array(code.astype(np.int32)), pa.array(n)], ["l", "r", "n"])
+
+    return df.select(F.col(ids).cast("array<int>")).mapInArrow(run, "l int, r int, n long").groupBy("l", "r").agg(F.sum("n").alias("n"))
 
 
 def best_pair(df: DataFrame, min_frequency: int = 2, ids: str = "ids") -> DataFrame:
@@ -114,12 +131,12 @@ def best_pair(df: DataFrame, min_frequency: int = 2, ids: str = "ids") -> DataFr
     return places.orderBy("first").limit(1).select("l", "r", "n")
 
 
-def decode_ids(df: DataFrame, vocab: DataFrame, ids: str = "ids") -> DataFrame:
-    """(doc_id, text) of arrays of ids, by a join with the vocabulary; an unknown id is an error."""
-    rows = df.select("doc_id", F.posexplode_outer(ids).alias("pos", "token_id")).join(vocab, "token_id", "left")
-    known = F.when(F.col("token_id").isNull(), F.unhex(F.lit(""))).when(F.col("bytes").isNull(), F.raise_error(F.concat(F.lit("no such token: "), F.col("token_id").cast("string"))).cast("binary")).otherwise(F.col("bytes"))
-    parts = rows.select("doc_id", "pos", F.hex(known).alias("h")).groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "h"))), lambda x: x["h"]), "").alias("h"))
-    return parts.select("doc_id", F.decode(F.unhex("h"), "UTF-8").alias("text"))
+def decode_ids(df: DataFrame, tokenizer: Tokenizer, ids: str = "ids") -> DataFrame:
+    """(doc_id, text) of arrays of ids: each is looked up in the vocabulary, a literal, where the row is; an unknown id is an error."""
+    vocabulary = F.from_json(F.lit(json.dumps([b.hex() for _, b in sorted(tokenizer.vocab().items())])), "array<string>")
+    unknown = lambda i: F.raise_error(F.concat(F.lit("no such token: "), i.cast("string"))).cast("string")
+    surface = lambda i: F.when((i >= 0) & (i < tokenizer.vocab_size), F.get(vocabulary, i)).otherwise(unknown(i))
+    return df.select("doc_id", F.decode(F.unhex(F.array_join(F.transform(ids, surface), "")), "UTF-8").alias("text"))
 
 
 # Learning.
@@ -156,13 +173,13 @@ class _Step:
             s = s[1:]
         s = apply_rule(s, *self.rule)
         if key in self.take:
-            s = np.append(s[:-1], np.int32(self.rule[2])).astype(np.int32)
+            s = np.append(s[:-1], self.rule[2]).astype(s.dtype)
         return s
 
 
 SEGMENT = "key long, seq binary"
-#: Counts of pairs, or (with ends) what is told of a segment.
-PARTIAL = "code long, n long, ends array<bigint>"
+#: Counts of pairs after so many guessed rules, or (with ends) what is told of a segment.
+PARTIAL = "step long, code long, n long, ends array<bigint>"
 
 
 def _end_rows(keys: list[int], flat: np.ndarray, stops: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -170,7 +187,8 @@ def _end_rows(keys: list[int], flat: np.ndarray, stops: np.ndarray) -> Iterator[
     if s.size:
         other, last = np.flatnonzero(s != s[0]), np.flatnonzero(s != s[-1])
         row = [keys[0], s.size, int(s[0]), int(other[0]) if other.size else s.size, int(s[-1]), int(s.size - 1 - last[-1]) if last.size else s.size]
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([row], pa.list_(pa.int64()))], ["code", "n", "ends"])
+        none = pa.nulls(1, pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, pa.array([row], pa.list_(pa.int64()))], ["step", "code", "n", "ends"])
 
 
 def _sorted_ends(df: DataFrame) -> list[dict]:
@@ -178,43 +196,57 @@ def _sorted_ends(df: DataFrame) -> list[dict]:
     return sorted((dict(zip(names, r["ends"])) for r in df.filter("ends is not null").select("ends").collect()), key=lambda x: x["key"])
 
 
-def _segments(batches: Iterator[pa.RecordBatch], steps: Sequence[_Step], bounded: bool) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+def _segments(batches: Iterator[pa.RecordBatch], steps: Sequence[_Step], bounded: bool, kind: type) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
     """Keys, ids and lengths of some segments, after the steps. Bounded segments are handled many at once."""
     for batch in batches:
         keys = batch.column("key").to_pylist()
         raw = [x or b"" for x in batch.column("seq").to_pylist()]
-        parts = [np.frombuffer(x, np.int32) for x in raw]
+        parts, end = [np.frombuffer(x, kind) for x in raw], _end(kind)
         if bounded:
             # A separator that is in no rule keeps documents apart.
-            flat = np.concatenate([y for x in parts for y in (x, _END)]) if parts else _END[:0]
+            flat = np.concatenate([y for x in parts for y in (x, end)]) if parts else end[:0]
             for step in steps:
                 flat = apply_rule(flat, *step.rule)
-            ends = np.flatnonzero(flat == -1)
+            ends = np.flatnonzero(flat == end)
             yield keys, flat, ends
         else:
             for key, s in zip(keys, parts):
                 for step in steps:
                     s = step.on(key, s)
-                yield [key], np.append(s, _END), np.array([s.size])
+                yield [key], np.append(s, end), np.array([s.size])
+
+
+def _kind(vocab_size: int) -> type:
+    """The numbers that segments are kept in: the narrower, the less is read in each round."""
+    return np.uint16 if vocab_size < np.iinfo(np.uint16).max else np.int32
+
 
+def _end(kind: type) -> np.ndarray:
+    """What stands behind each document; no token."""
+    return np.array([np.iinfo(kind).max], kind)
 
-_END = np.array([-1], np.int32)
+
+def _codes(flat: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """The code of each adjacent pair, and whether both are tokens."""
+    token = flat != np.iinfo(flat.dtype).max
+    return flat[:-1].astype(np.int64) * base + flat[1:], token[:-1] & token[1:]
 
 
 def _pairs(flat: np.ndarray, base: int) -> np.ndarray:
-    code = flat[:-1].astype(np.int64) * base + flat[1:]
-    return code[(flat[:-1] >= 0) & (flat[1:] >= 0)]
+    code, real = _codes(flat, base)
+    return code[real]
 
 
 class _Learner:
-    def __init__(self, segments: DataFrame, tokenizer: Tokenizer, bounded: bool):
-        self.segments, self.bounded = segments, bounded
+    def __init__(self, segments: DataFrame, tokenizer: Tokenizer, bounded: bool, kind: type):
+        self.segments, self.bounded, self.kind = segments, bounded, kind
         self.merges = list(tokenizer.merges)
         self.steps: list[_Step] = []
+        self.guesses: list[tuple[int, int]] = []
 
     def _map(self, run, schema: str) -> DataFrame:
-        steps, bounded = tuple(self.steps), self.bounded
-        return self.segments.mapInArrow(lambda batches: run(_segments(batches, steps, bounded)), schema)
+        steps, bounded, kind = tuple(self.steps), self.bounded, self.kind
+        return self.segments.mapInArrow(lambda batches: run(_segments(batches, steps, bounded, kind)), schema)
 
     def write(self) -> None:
         """Write the segments as they are now."""
@@ -233,55 +265,85 @@ class _Learner:
         """Of each segment in order: key, length, first token and its run, last token and its run."""
         return _sorted_ends(self._map(lambda parts: (r for keys, flat, stops in parts for r in _end_rows(keys, flat, stops)), PARTIAL))
 
-    def best(self, least: int) -> tuple[int, int, int, list] | None:
+    def best(self, least: int, most: int) -> list[tuple[int, int, int, list]]:
+        """The next rules, one at least unless no pair is frequent enough, `most` at most.
+
+        In bounded mode the tasks also count what follows if the next rules are
+        those guessed: as long as a guess proves right, the counts behind it give
+        another rule without another job.
+        """
         base = BASE + len(self.merges)
+        guessed = self.guesses[: min(AHEAD, most - 1)] if self.bounded and base + AHEAD <= DENSE else []
+        base += len(guessed)  # one for all counts of the job
+        first = BASE + len(self.merges)
 
         def run(parts):
-            dense = np.zeros(base * base, np.int64) if base <= DENSE else None
+            dense = np.zeros((len(guessed) + 1, base * base), np.int64) if base <= DENSE else None
             sparse: list[tuple[np.ndarray, np.ndarray]] = []
             for keys, flat, stops in parts:
                 if not bounded:
                     yield from _end_rows(keys, flat, stops)
-                code = _pairs(flat, base)
-                if dense is not None:
-                    dense += np.bincount(code, minlength=dense.size) if code.size * 8 > dense.size else 0
-                    if code.size * 8 <= dense.size:
-                        np.add.at(dense, code, 1)
-                else:
-                    sparse.append(np.unique(code, return_counts=True))
+                if dense is None:
+                    sparse.append(np.unique(_pairs(flat, base), return_counts=True))
+                    continue
+                for k in range(len(guessed) + 1):
+                    if k:
+                        flat = apply_rule(flat, *guessed[k - 1], first + k - 1)
+                    code = _pairs(flat, base)
+                    if code.size * 8 > dense.shape[1]:
+                        dense[k] += np.bincount(code, minlength=dense.shape[1])
+                    else:
+                        np.add.at(dense[k], code, 1)
             if dense is not None:
-                code = np.flatnonzero(dense)
-                n = dense[code]
+                step, code = np.nonzero(dense)
+                n = dense[step, code]
             else:
                 every = np.concatenate([c for c, _ in sparse]) if sparse else np.zeros(0, np.int64)
                 code, back = np.unique(every, return_inverse=True)
                 n = np.bincount(back, np.concatenate([k for _, k in sparse]), code.size).astype(np.int64) if sparse else code
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n), pa.nulls(len(code), pa.list_(pa.int64()))], ["code", "n", "ends"])
+                step = np.zeros(code.size, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(step, pa.int64()), pa.array(code), pa.array(n), pa.nulls(len(code), pa.list_(pa.int64()))], ["step", "code", "n", "ends"])
 
         bounded = self.bounded
         partial = self._map(run, PARTIAL)
         if bounded:
-            return self._choose(partial, base, least, [])
+            return self._choose(partial, base, least, [], guessed)
         partial = partial.persist()  # read twice; a lost part is computed again
         try:
             ends = _sorted_ends(partial)
-            crossing = [(x["last"] * base + y["first"], 1) for x, y in zip(ends, ends[1:])]
-            own = partial.filter("ends is null").select("code", "n")
-            return self._choose(own.union(own.sparkSession.createDataFrame(crossing, "code long, n long")) if crossing else own, base, least, ends)
+            crossing = [(0, x["last"] * base + y["first"], 1) for x, y in zip(ends, ends[1:])]
+            own = partial.filter("ends is null").select("step", "code", "n")
+            return self._choose(own.union(own.sparkSession.createDataFrame(crossing, "step long, code long, n long")) if crossing else own, base, least, ends, [])
         finally:
             partial.unpersist()
 
-    def _choose(self, partial: DataFrame, base: int, least: int, ends: list) -> tuple[int, int, int, list] | None:
-        counts = partial.groupBy("code").agg(F.sum("n").alias("n"))
-        top = counts.orderBy(F.col("n").desc(), "code").limit(TIES).collect()
-        if not top or top[0]["n"] < least:
-            return None
-        n = top[0]["n"]
-        if len(top) == TIES and top[-1]["n"] == n:
-            top = counts.filter(F.col("n") == n).collect()
-        tied = [r["code"] for r in top if r["n"] == n]
-        code = tied[0] if len(tied) == 1 else self._first(sorted(tied), base, ends)
-        return code // base, code % base, n, ends
+    def _choose(self, partial: DataFrame, base: int, least: int, ends: list, guessed: list) -> list[tuple[int, int, int, list]]:
+        counts = partial.groupBy("step", "code").agg(F.sum("n").alias("n"))
+        if guessed:
+            place = F.row_number().over(Window.partitionBy("step").orderBy(F.col("n").desc(), "code"))
+            rows = counts.withColumn("place", place).filter(F.col("place") <= TIES).collect()
+        else:
+            rows = counts.orderBy(F.col("n").desc(), "code").limit(TIES).collect()
+        found: list[tuple[int, int, int, list]] = []
+        for k in range(len(guessed) + 1):
+            top = sorted(((r["n"], r["code"]) for r in rows if r["step"] == k), key=lambda x: (-x[0], x[1]))
+            if not top or top[0][0] < least:
+                break
+            n = top[0][0]
+            tied = [c for m, c in top if m == n]
+            if len(tied) > 1:
+                if k:
+                    break  # the first place is looked up in the segments as they are: by the next job
+                if len(tied) == TIES:
+                    tied = [r["code"] for r in counts.filter((F.col("step") == 0) & (F.col("n") == n)).select("code").collect()]
+            code = tied[0] if len(tied) == 1 else self._first(sorted(tied), base, ends)
+            pair = (code // base, code % base)
+            found.append((*pair, n, ends))
+            # Pairs that this rule does not touch are likely to be the next ones.
+            self.guesses = [(c // base, c % base) for _, c in top if c // base != pair[1] and c % base != pair[0] and c != code]
+            if k == len(guessed) or pair != guessed[k]:
+                break
+        return found
 
     def _first(self, tied: list[int], base: int, ends: list) -> int:
         """The tied pair that occurs first."""
@@ -290,7 +352,8 @@ class _Learner:
         def run(parts):
             best: dict[int, tuple[int, int]] = {}
             for keys, flat, stops in parts:
-                code = np.where((flat[:-1] >= 0) & (flat[1:] >= 0), flat[:-1].astype(np.int64) * base + flat[1:], -1)
+                code, real = _codes(flat, base)
+                code[~real] = -1
                 hit = np.flatnonzero(np.isin(code, want))
                 which = np.searchsorted(stops, hit)
                 starts = np.concatenate([[0], stops[:-1] + 1])
@@ -336,23 +399,23 @@ class _Learner:
         """Learn until the vocabulary is full or no pair is frequent enough; the count of each new rule."""
         found = []
         while BASE + len(self.merges) < vocab_size:
-            best = self.best(least)
-            if best is None:
+            best = self.best(least, vocab_size - BASE - len(self.merges))
+            if not best:
                 break
-            a, b, n, ends = best
-            self.add(a, b, ends)
-            found.append(n)
+            for a, b, n, ends in best:
+                self.add(a, b, ends)
+                found.append(n)
             if len(self.steps) >= REWRITE:
                 self.write()
         return found
 
 
-def _packed(df: DataFrame, merges: Sequence[S.Merge]) -> DataFrame:
+def _packed(df: DataFrame, merges: Sequence[S.Merge], kind: type) -> DataFrame:
     """Documents as bounded segments, dealt out over the session's cores."""
 
     def run(batches):
         for batch in batches:
-            parts = [np.frombuffer((x or "").encode(), np.uint8).astype(np.int32) for x in batch.column("text").to_pylist()]
+            parts = [np.frombuffer((x or "").encode(), np.uint8).astype(kind) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([_rules(p).tobytes() for p in parts], pa.binary())], ["key", "seq"])
 
     def _rules(s):
@@ -363,9 +426,9 @@ def _packed(df: DataFrame, merges: Sequence[S.Merge]) -> DataFrame:
     return df.mapInArrow(run, SEGMENT)
 
 
-def _joined(df: DataFrame, separator: str) -> DataFrame:
+def _joined(df: DataFrame, separator: str, kind: type) -> DataFrame:
     """The corpus as consecutive segments, in order of doc_id; keys follow that order."""
-    gap = np.frombuffer(separator.encode(), np.uint8).astype(np.int32)
+    gap = np.frombuffer(separator.encode(), np.uint8).astype(kind)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = df.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
 
@@ -374,9 +437,9 @@ def _joined(df: DataFrame, separator: str) -> DataFrame:
         for batch in batches:
             for x in batch.column("text").to_pylist():
                 # The separator stands before each document; the very first one's is cut off by the caller.
-                held += [gap, np.frombuffer((x or "").encode(), np.uint8).astype(np.int32)]
+                held += [gap, np.frombuffer((x or "").encode(), np.uint8).astype(kind)]
                 size += held[-1].size + gap.size
-                if size >= SEGMENT_BYTES:
+                if size >= SEGMENT_IDS:
                     yield _one(part, k, held)
                     k, held, size = k + 1, [], 0
         if held:
@@ -396,15 +459,16 @@ def train(df: DataFrame, vocab_size: int, min_frequency: int = 2, mode: str = "d
     """
     init = init or Tokenizer()
     session(df)
+    kind = _kind(max(vocab_size, init.vocab_size))
     df = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if mode == "document_bounded":
         cores = df.sparkSession.sparkContext.defaultParallelism
         dealt = df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-        learner = _Learner(staged(_packed(dealt, init.merges)), init, True)
+        learner = _Learner(staged(_packed(dealt, init.merges, kind)), init, True, kind)
     elif mode == "joined":
-        learner = _Learner(staged(_joined(df, separator)), init, False)
+        learner = _Learner(staged(_joined(df, separator, kind)), init, False, kind)
         first = learner.segments.agg(F.min("key")).first()[0]
-        cut = len(separator.encode()) * 4
+        cut = len(separator.encode()) * np.dtype(kind).itemsize
         if first is not None:
             body = F.when(F.col("key") == first, F.substring("seq", cut + 1, 2**31 - 1)).otherwise(F.col("seq"))
             learner.segments = staged(learner.segments.select("key", body.alias("seq")))

@@ -114,9 +114,8 @@ def q11(spark, d):
 
 
 def q11_ids(spark, d):
-    vocab = bpe.Tokenizer(RULES).vocab_table(spark)
     items = corpus.documents(spark, d, "benchmark", "item_id").select("doc_id", S.to_ids(S.encode(F.col("text"), RULES)).alias("ids"))
-    return bpe.decode_ids(items, vocab).select(F.col("doc_id").alias("item_id"), "text")
+    return bpe.decode_ids(items, bpe.Tokenizer(RULES)).select(F.col("doc_id").alias("item_id"), "text")
 
 
 def q12(spark, d):

@@ -48,7 +48,7 @@ def test_modes_like_plain_on_random_corpora(spark, monkeypatch):
         df = corpus.literal(spark, *docs).repartition(3)
         t, counts = bpe.train(df, 266, 2)
         assert (list(t.merges), counts) == learn(docs, 266, 2)
-        monkeypatch.setattr(bpe, "SEGMENT_BYTES", 3 + 20 * k)  # many small segments: pairs cross them all the time
+        monkeypatch.setattr(bpe, "SEGMENT_IDS", 3 + 20 * k)  # many small segments: pairs cross them all the time
         monkeypatch.setattr(bpe, "REWRITE", 4)
         t, counts = bpe.train(df, 266, 2, "joined")
         assert (list(t.merges), counts) == learn(["\n\n".join(docs)], 266, 2)
@@ -84,15 +84,27 @@ def test_encode_decode_round_trip(spark):
             ids = merge(ids, *m)
         assert r.back == r.text and r.ids == ids
     ids = df.select("doc_id", S.to_ids(t.encode(F.col("text"))).alias("ids"))
-    assert [r.text for r in bpe.decode_ids(ids, t.vocab_table(spark)).orderBy("doc_id").collect()] == texts
+    assert [r.text for r in bpe.decode_ids(ids, t).orderBy("doc_id").collect()] == texts
     assert t.vocab()[261] == b"aaabb" and t.vocab_table(spark).count() == 264
 
 
+@pytest.mark.parametrize("ahead", [0, 1, 6])
+def test_rules_guessed_ahead_change_nothing(spark, monkeypatch, ahead):
+    monkeypatch.setattr(bpe, "AHEAD", ahead)
+    rng = random.Random(ahead)
+    words = ["".join(rng.choice("abcdeaab ") for _ in range(rng.randrange(2, 9))) for _ in range(40)]
+    docs = [" ".join(rng.choice(words) for _ in range(rng.randrange(60))) for _ in range(30)] + ["", "aaaaaaa", "abababab"]
+    t, counts = bpe.train(corpus.literal(spark, *docs).repartition(3), 300, 3)
+    rules, want = learn(docs, 300, 3)
+    assert (list(t.merges), counts) == (rules, want) and len(rules) > 30
+    again, more = bpe.train(corpus.literal(spark, *docs), 300, 3, init=bpe.Tokenizer(tuple(rules[:17])))
+    assert list(again.merges) == rules and more == want[17:]
+
+
 def test_strict_decoding(spark):
-    vocab = bpe.base_vocab(spark)
-    for ids in ([300], [0xC4]):
+    for ids in ([300], [-1], [0xC4]):
         with pytest.raises(PySparkException):
-            bpe.decode_ids(spark.createDataFrame([(0, ids)], "doc_id long, ids array<int>"), vocab).collect()
+            bpe.decode_ids(spark.createDataFrame([(0, ids)], "doc_id long, ids array<int>"), bpe.Tokenizer()).collect()
     with pytest.raises(PySparkException):
         spark.range(1).select(S.decode(F.lit(chr(300)), [])).collect()
 
