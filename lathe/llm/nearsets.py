@@ -2,8 +2,8 @@
 
 SimHash goes first: sets whose fingerprints meet in pigeonhole blocks and are
 within two bits are candidates (`simhash.links`), verified like all others. Two
-bits reach few pairs near 0.8, so the rest is completed by a prefix filter over
-sets that are not yet in one group, which is exact: with all shingles in one global order, two
+bits reach few pairs near 0.8, so a prefix filter, which is exact, completes
+them: with all shingles in one global order, two
 sets of similarity 4/5 share a shingle among the first n - ceil(4n/5) + 1 of
 each. The order is by hash, behind which come the commonest shingles of a sample
 of the documents (`DEMOTED` at most, commonest last); any order is exact, this
@@ -157,27 +157,23 @@ def firsts(docs: DataFrame, width: int = 5, doc_id: str = "doc_id", text: str =
     rep = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
     nodes = staged(marks.groupBy("node").agg(F.min(rep).alias("rep"), *(F.any_value(x).alias(x) for x in ("n", "fp", "prefix", *SKETCH))))
 
-    close = staged(_verified(staged(_by_fingerprint(nodes)), docs, nodes, width))
-    joined = components(close).withColumnRenamed("fp", "node")
-    rooted = nodes.select("node", *SKETCH).join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
     posts = nodes.select("node", "n", F.posexplode("prefix").alias("at", "s")).select("node", "n", "s", (F.col("at") + 1).alias("i"))
     many = posts.groupBy("s").agg(F.count("*").alias("of")).filter("of > 1")
-    met = staged(posts.join(many, "s").join(rooted, "node"))
+    met = staged(posts.join(many, "s").join(nodes.select("node", *SKETCH), "node"))
     few, crowd = met.filter(F.col("of") <= CROWDED), met.filter(F.col("of") > CROWDED)
     place = F.row_number().over(Window.partitionBy("s").orderBy("i", "node"))
     leads = staged(crowd.select("s", "i", "node").withColumn("place", place).filter(F.col("place") <= LEADERS).select("s", "node"))
-    near = _pairs(crowd.join(leads, ["s", "node"]), crowd, "root", leads=True)
-    found = _verified(staged(_pairs(few, few, "root").filter("root_a <> root_b").select("a", "b").union(near.filter("root_a <> root_b").select("a", "b")).distinct()), docs, nodes, width)
-    all_links = staged(close.union(found))
-    root = components(all_links)
+    near = _pairs(crowd.join(leads, ["s", "node"]), crowd, leads=True)
+    candidates = _by_fingerprint(nodes).union(_pairs(few, few).select("a", "b")).union(near.select("a", "b")).distinct()
+    close = staged(_verified(staged(candidates), docs, nodes, width))
+    root = components(close)
 
-    named = crowd.drop("root").join(root.withColumnRenamed("fp", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = crowd.join(root.withColumnRenamed("fp", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = named.groupBy("s").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("s")
     rest = staged(named.join(open_, "s").join(leads.withColumn("led", F.lit(True)), ["s", "node"], "left").filter("led is null").drop("led"))
     left = staged(_pairs(rest, rest, "root").filter("root_a <> root_b").select("a", "b").distinct())
     if not left.isEmpty():
-        root = components(all_links.union(_verified(left, docs, nodes, width)))
+        root = components(close.union(_verified(left, docs, nodes, width)))
 
     of = nodes.select("node", "rep").join(root.withColumnRenamed("fp", "node"), "node", "left")
     return of.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("rep").alias("rep")).select("rep.id", "rep.h")
