@@ -132,7 +132,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int) -
             yield pa.RecordBatch.from_arrays([batch.column("node"), _lists([shingles(x, width) for x in texts(batch, "text")])], ["node", "of"])
 
     held = docs.join(reps, docs.id.eqNullSafe(reps.rid) & (docs.h == reps.rh)).select("node", "text")
-    sets = staged(held.mapInArrow(run, "node long, of array<long>").groupBy("node").agg(F.any_value("of").alias("of")))
+    # Not written: both joins go on from the one exchange by node, and only the sets of `a` move again.
+    sets = held.mapInArrow(run, "node long, of array<long>").groupBy("node").agg(F.any_value("of").alias("of"))
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("of").alias("of_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("of").alias("of_b")), "b")
     return both.filter(9 * F.size(F.array_intersect("of_a", "of_b")) >= 4 * (F.size("of_a") + F.size("of_b"))).select("a", "b")
 
