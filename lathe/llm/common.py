@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lathe.sources.staging import session, shared_dir, staged
 
-__all__ = ["lower_ascii", "session", "shared_dir", "spread_join", "staged", "table", "text_of"]
+__all__ = ["lower_ascii", "session", "shared_dir", "sieved", "spread_join", "staged", "table", "text_of"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,3 +48,19 @@ def spread_join(left: DataFrame, right: DataFrame, on: list[str], weight: str, b
     salted = marked.withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*by), F.lit(SPREAD))).otherwise(0).cast("int")).drop("__hot")
     copies = right.withColumn("__salt", F.explode(F.when(heavy, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0))))).drop(weight)
     return salted.join(copies, [*on, "__salt"]).drop("__salt")
+
+
+#: Rows of 64 bits that a sieve has at most: that many pairs of numbers are broadcast, whatever the tables.
+SIEVE = 1 << 18
+
+
+def sieved(df: DataFrame, keys: DataFrame, key: Column, out: str) -> DataFrame:
+    """Append a boolean: false only if a row's 64-bit `key`, an expression on both sides, is that of no row of `keys`.
+
+    A row that is false needs no exact join. With far more keys than the sieve has
+    bits nearly all rows are true, and the exact join behind it does the whole work.
+    """
+    word, bit = F.pmod(F.shiftright(key, 6), F.lit(SIEVE)), F.call_function("shiftleft", F.lit(1).cast("long"), key.bitwiseAND(F.lit(63)).cast("int"))
+    words = keys.select(word.alias("__word"), bit.alias("__bit")).groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    met = df.withColumn("__word", word).join(F.broadcast(words), "__word", "left")
+    return met.withColumn(out, F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))).drop("__word", "__bits")

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lathe.llm.arrow import slices, texts
-from lathe.llm.common import session, staged, text_of
+from lathe.llm.common import session, sieved, staged, text_of
 from lathe.llm.simhash import bits_of, components, links
 
 CROWDED, LEADERS, DEMOTED = 16, 4, 200_000
@@ -125,7 +125,8 @@ def _by_fingerprint(nodes: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """Those of some pairs (a, b) of nodes whose sets are 0.8 alike or more."""
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    reps = nodes.join(needed, "node").select("node", F.col("rep.id").alias("rid"), F.col("rep.h").alias("rh"))
+    reps = staged(nodes.join(needed, "node").select("node", F.col("rep.id").alias("rid"), F.col("rep.h").alias("rh")))
+    docs = sieved(docs, reps.select(F.col("rid").alias("id"), F.col("rh").alias("h")), F.xxhash64("id", "h"), "met").filter("met").drop("met")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

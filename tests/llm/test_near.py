@@ -111,3 +111,19 @@ def test_recall_on_a_table(spark):
     empty = [i for i, a in enumerate(sets) if not a]
     want = {rows[find(i)][0] for i in range(len(sets)) if i not in empty[1:]}
     assert sorted(got) == sorted(want)
+
+
+def test_a_sieve_lets_every_key_through(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from lathe.llm import common
+
+    df = spark.createDataFrame([(k - 500, None if k % 7 else "x") for k in range(1000)], "k long, s string")
+    keys = df.filter("k % 10 = 0")
+    for words, most in ((1 << 18, 10), (1, 1000)):  # few bits: nearly all rows may be keys
+        monkeypatch.setattr(common, "SIEVE", words)
+        for key in (F.col("k"), F.xxhash64("k", "s")):
+            got = common.sieved(df, keys, key, "met").collect()
+            assert len(got) == 1000 and all(r.met for r in got if r.k % 10 == 0)
+            assert sum(r.met and r.k % 10 != 0 for r in got) <= most
+    assert not any(r.met for r in common.sieved(df, keys.limit(0), F.col("k"), "met").collect())
