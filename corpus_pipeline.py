@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathe.llm import decontaminate, linededup, nearsets, quality, sentencepieces
-from lathe.llm.common import staged, table, text_of
+from lathe.llm.common import sieved, staged, table, text_of
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Words of a shingle in the near-dedup stage.
@@ -41,8 +41,14 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     first = staged(nearsets.firsts(docs.select("doc_id", "text"), WIDTH)).select(F.col("id").alias("__kept"), F.col("h").alias("__of"))
     keyed = docs.select(*COLUMNS, F.xxhash64(text_of("text")).alias("__hash"))
-    kept = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.col("__hash") == F.col("__of")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__hash"]).select(COLUMNS)
+    rows = keyed.groupBy("doc_id", "__hash").agg(F.count("*").alias("__rows"))
+    same = F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.col("__hash") == F.col("__of"))
+    # Documents that go or stand in several rows; all others stay without a shuffle of their texts.
+    odd = staged(rows.join(first, same, "left").filter(F.col("__of").isNull() | (F.col("__rows") > 1)).select("doc_id", "__hash", F.col("__of").isNull().alias("__goes")))
+    met = sieved(keyed, odd, F.xxhash64("doc_id", "__hash"), "__met")
+    marks = odd.select(F.col("doc_id").alias("__kept"), F.col("__hash").alias("__of"), "__goes")
+    some = met.filter("__met").join(marks, same, "left").filter(~F.coalesce("__goes", F.lit(False))).dropDuplicates(["doc_id", "__hash"])
+    return met.filter("not __met").select(COLUMNS).union(some.select(COLUMNS))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
